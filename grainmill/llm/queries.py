@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import table
 from .sharding import shard_documents
+from .simhash import near_duplicates
 from .tokencount import count_tokens
 
 
@@ -21,12 +22,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op4_token_counts, op8_byte_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op4_token_counts, op7_simhash, op8_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
