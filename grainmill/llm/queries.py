@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
 from .common import table
+from .langid import fit, identify
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .tokencount import count_tokens
@@ -18,6 +19,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return identify(documents, fit(documents))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
@@ -31,7 +37,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op4_token_counts, op7_simhash, op8_byte_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_language_id, op4_token_counts, op7_simhash, op8_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
