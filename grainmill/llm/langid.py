@@ -107,7 +107,7 @@ class Model:
             sizes.append(math.log2(max(2, len(symbols))))
             self.automata.append(a)
             at += table.size
-        self.table = np.concatenate(tables).astype(np.int32 if at < 2**30 else np.int64)
+        self.table = np.concatenate([*tables, np.zeros(1, np.int64)]).astype(np.int32 if at < 2**30 else np.int64)
         self.starts, self.cost = np.array(starts, self.table.dtype), np.array(sizes)
 
     def symbols(self, text: str) -> np.ndarray:
