@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import table
 from .langid import fit, identify
+from .secrets import secret_report
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .tokencount import count_tokens
@@ -28,6 +29,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,7 +42,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_language_id, op4_token_counts, op7_simhash, op8_byte_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_language_id, op4_token_counts, op5_secret_scans, op7_simhash, op8_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
