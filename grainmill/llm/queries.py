@@ -13,6 +13,7 @@ from .langid import fit, identify
 from .secrets import secret_report
 from .sharding import shard_documents
 from .simhash import near_duplicates
+from .syncmers import fingerprint_documents
 from .tokencount import count_tokens
 
 
@@ -33,6 +34,10 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,7 +47,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_language_id, op4_token_counts, op5_secret_scans, op7_simhash, op8_byte_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_language_id, op4_token_counts, op5_secret_scans, op6_fingerprints, op7_simhash, op8_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
