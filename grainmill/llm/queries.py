@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import table
 from .langid import fit, identify
+from .linededup import line_report
 from .packing import pack_documents
 from .secrets import secret_report
 from .sharding import shard_documents
@@ -51,8 +52,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_language_id, op3_packing, op4_token_counts, op5_secret_scans, op6_fingerprints, op7_simhash, op8_byte_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_language_id, op3_packing, op4_token_counts, op5_secret_scans, op6_fingerprints, op7_simhash, op8_byte_bpe, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
