@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import nearest
 from .bpe import encode_documents
 from .common import table
 from .langid import fit, identify
@@ -52,12 +53,17 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return nearest(embeddings, embeddings.where("vec_id % 20 = 0"), k=20)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_language_id, op3_packing, op4_token_counts, op5_secret_scans, op6_fingerprints, op7_simhash, op8_byte_bpe, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op2_language_id, op3_packing, op4_token_counts, op5_secret_scans, op6_fingerprints, op7_simhash, op8_byte_bpe, op9_nearest_neighbours, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
