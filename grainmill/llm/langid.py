@@ -231,6 +231,22 @@ def identify(df: DataFrame, samples: tuple, id_col: str = "doc_id", text_col: st
     return source.mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double, bits double, rejected boolean")
 
 
+def identified(df: DataFrame, samples: tuple, text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, whose language identify() does not reject."""
+    shared = df.sparkSession.sparkContext.broadcast(samples)
+    column = df.columns.index(text_col)
+
+    def run(batches):
+        model = model_of(shared.value)
+        most = math.log2(model.width)
+        for batch in batches:
+            for part, texts in in_parts(batch, column):
+                keep = [p != "und" and (b < most or len(t) < ENOUGH) for (p, _, b), t in zip(model.predict(texts), texts)]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def in_parts(batch: pa.RecordBatch, column: int, most: int = 4_000_000):
     """Slices of a batch with about ``most`` bytes of text, one row at least, and their texts."""
     size = np.cumsum([len(t) if t else 0 for t in (v.as_py() for v in batch.column(column))])

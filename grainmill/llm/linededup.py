@@ -146,9 +146,13 @@ def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_CHARS) -> DataFrame:
-    """All rows and columns of ``df``, with the repeated lines taken out of the text; texts that lose none stay as they are."""
+    """The rows and columns of ``df`` with the repeated lines taken out of the text.
+
+    Texts that lose none stay as they are; rows of which only blanks are left go.
+    """
     gone = repeated_lines(df, id_col, text_col, least).select(F.col(id_col).alias("__id"), F.col("removed").alias("__removed"))
     rows = df.join(gone, F.col(id_col) == F.col("__id"), "left").withColumn("__lines", F.when(F.col("__removed").isNotNull(), lines_of(F.col(text_col).cast("string"))))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__removed"))
     text = F.array_join(F.transform(kept, lambda n: F.get("__lines", n)), "\n")
-    return rows.withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(text)).drop("__id", "__removed", "__lines")
+    rows = rows.withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(text))
+    return rows.where(F.col("__removed").isNull() | F.col(text_col).rlike(r"\S")).select(*df.columns)

@@ -153,28 +153,41 @@ def of_kind(kind: int) -> Column:
     return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, stretches) of every row: base is array<struct(start, kind, end)> in order, kind being a place in KINDS."""
-    found = df.select(F.col(id_col), text_or_empty(text_col).alias("__text"))
-    found = found.withColumns({
+def with_scan(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Adds __base, array<struct(start, kind, end)> in order with kind a place in KINDS, and __stretches."""
+    names = df.columns
+    df = df.withColumn("__text", text_or_empty(text_col))
+    df = df.withColumns({
         "__assign": places(F.col("__text"), ASSIGN, 2, LEAST_VALUE), "__access": places(F.col("__text"), ACCESS),
         "__hex": places(F.col("__text"), HEX), "__spans": places(F.col("__text"), STRETCH),
     })
-    found = found.withColumn("base", F.array_sort(F.concat(*(tagged(f"__{kind}", n) for n, kind in enumerate(KINDS[:3])))))
+    df = df.withColumn("__base", F.array_sort(F.concat(*(tagged(f"__{kind}", n) for n, kind in enumerate(KINDS[:3])))))
     for name, value in battery(F.col("__text"), F.col("__spans")):
-        found = found.withColumn(name, value)
-    return found.select(id_col, "base", F.col("__stretches").alias("stretches"))
+        df = df.withColumn(name, value)
+    return df.select(*names, "__base", "__stretches")
 
 
 def least_cells(scanned: DataFrame, rate: float = FALSE_DISCOVERY) -> dict[int, int]:
     """The cell from which stretches of each octave of length are discoveries. The driver gets one row per octave."""
-    cells = scanned.select(F.explode("stretches").alias("x")).groupBy("x.octave", "x.cell").count()
+    cells = scanned.select(F.explode("__stretches").alias("x")).groupBy("x.octave", "x.cell").count()
     ranked = cells.selectExpr("octave", "cell", "sum(count) over (partition by octave order by cell desc) as found", "sum(count) over (partition by octave) as tests")
     # The cell's largest p-value, 10^(-cell / 10), has to stay under rate * found / tests.
     passed = ranked.where((F.col("cell") > 0) & (F.pow(F.lit(10.0), -F.col("cell") / 10) <= rate * F.col("found") / F.col("tests")))
     return {r.octave: r.cell for r in passed.groupBy("octave").agg(F.min("cell").alias("cell")).collect()}
 
 
+def found(cells: dict[int, int]) -> Column:
+    """All spans of a scanned row, given least_cells: the base ones, and discoveries that overlap none of them."""
+
+    def added(x):
+        wanted = F.lit(False)
+        for octave, cell in sorted(cells.items()):
+            wanted = wanted | ((x["octave"] == octave) & (x["cell"] >= cell))
+        return wanted & ~F.exists("__base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+
+    return F.array_sort(F.concat("__base", tagged(F.filter("__stretches", added), KINDS.index("random"))))
+
+
 def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = FALSE_DISCOVERY) -> DataFrame:
     """One row per input row: id and found, array<struct(start, kind, end)> ordered by start, then kind.
 
@@ -182,19 +195,19 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that overlap a base match are left out. A null text counts as empty; null ids, repeated rows
     and empty tables pass through; other columns are ignored.
     """
-    scanned = checkpoint(scan(df, id_col, text_col))
-    cells = least_cells(scanned, rate)
-    if not cells:
-        return scanned.select(id_col, F.col("base").alias("found"))
+    scanned = checkpoint(with_scan(df.select(F.col(id_col), F.col(text_col)), text_col).select(id_col, "__base", "__stretches"))
+    return scanned.select(id_col, found(least_cells(scanned, rate)).alias("found"))
 
-    def added(x):
-        wanted = F.lit(False)
-        for octave, cell in sorted(cells.items()):
-            wanted = wanted | ((x["octave"] == octave) & (x["cell"] >= cell))
-        return wanted & ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
 
-    more = tagged(F.filter("stretches", added), KINDS.index("random"))
-    return scanned.select(id_col, F.array_sort(F.concat("base", more)).alias("found"))
+def without_secrets(df: DataFrame, text_col: str = "text", rate: float = FALSE_DISCOVERY, mark: str = "[SECRET]") -> DataFrame:
+    """All rows and columns of ``df``, every secret in the text replaced by a mark.
+
+    The text is scanned twice, once for the corpus-wide p-values and once in passing, rather than
+    shuffled to meet its spans. Null texts stay null.
+    """
+    cells = least_cells(with_scan(df.select(text_col), text_col), rate)
+    scanned = with_scan(df, text_col).withColumn("__found", found(cells))
+    return scanned.withColumn(text_col, redacted(F.col(text_col).cast("string"), F.col("__found"), mark)).select(*df.columns)
 
 
 def shown(found: Column) -> Column:
@@ -205,12 +218,12 @@ def shown(found: Column) -> Column:
 
 def secret_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = FALSE_DISCOVERY) -> DataFrame:
     """find_secrets in digest form: id, n_assign, n_access, n_hex, base_sha256, spans."""
-    found = find_secrets(df, id_col, text_col, rate)
+    spans = find_secrets(df, id_col, text_col, rate)
     count = [of_kind(n).alias(f"n_{kind}") for n, kind in enumerate(KINDS[:3])]
-    return found.select(id_col, *count, digest(shown(F.filter("found", lambda s: s["kind"] < 3))).alias("base_sha256"), shown(F.col("found")).alias("spans"))
+    return spans.select(id_col, *count, digest(shown(F.filter("found", lambda s: s["kind"] < 3))).alias("base_sha256"), shown(F.col("found")).alias("spans"))
 
 
-def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with every found span, overlapping ones as one, replaced by a mark."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -218,4 +231,4 @@ def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
         more = F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(""))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), more.alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))).otherwise(text)
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))).otherwise(text)

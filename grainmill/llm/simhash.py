@@ -163,3 +163,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, less near duplicates: of each component the row with the smallest id.
+
+    Rows that repeat an id stay once for each text; rows without an id stay only where no row that
+    has one is like them.
+    """
+    kept = near_duplicates(df, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
+    rows = df.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    ranked = rows.withColumn("__copy", F.expr(f"row_number() over (partition by `{id_col}`, xxhash64(`{text_col}`) order by 1)"))
+    return ranked.where(F.col("__copy") == 1).drop("__copy")
