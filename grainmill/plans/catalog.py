@@ -1,4 +1,9 @@
 """Registered queries of the library's own operators, and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from grainmill.plans import corpus
+
+MODULES = (corpus,)
+QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
+ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
