@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from grainmill.plans import corpus
+from grainmill.plans import corpus, text
 
-MODULES = (corpus,)
+MODULES = (corpus, text)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
