@@ -14,31 +14,60 @@ alone need no packing.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, text_or_empty
+from .common import checkpoint, resident, text_or_empty
 from .langid import in_parts
+from .tokencount import byte_alphabet
 
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 4096, 3, 2, 5, 6, 2
 #: Stretches of text whose ids a worker remembers before it starts anew; it bounds memory, not results.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 _SPACES = re.compile(r"\s\s|[\x1c-\x1f]")
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
+# Fixed value: the pattern by which byte-level vocabularies split a text; white space is that property.
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+
+
+class Words(dict):
+    """Ids of pre-tokens, by the library's merge model."""
+
+    def __init__(self, model):
+        self.model, self.letters = model, dict(enumerate(byte_alphabet()))
+
+    def __missing__(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        found = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
+class Stretches(dict):
+    """Ids of stretches of text between safe places."""
+
+    def __init__(self, words: Words):
+        self.words = words
+
+    def __missing__(self, text: str) -> bytes:
+        found = self[text] = b"".join(map(self.words.__getitem__, SPLIT.findall(text)))
+        return found
 
 
 class Ids:
     """Ids of whole texts by the tokenizers library, as little-endian unsigned 32-bit bytes.
 
     No token of a byte-level vocabulary spans a place where a single space follows a non-space and
-    stands before another; stretches between such places are encoded once and remembered. Texts
-    with longer runs of white space, or with the string of a special token, are encoded whole.
+    stands before another; stretches between such places, and the pre-tokens in them, are encoded
+    once and remembered. Texts with longer runs of white space, or with the string of a special
+    token, are encoded whole.
     """
 
     def __init__(self, spec: str):
@@ -49,32 +78,25 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.words = Words(self.tokenizer.model)
+        self.known = Stretches(self.words)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def one(self, text: str) -> bytes:
+        # Printable but for newlines: then the only white space is these and the plain space.
+        plain = text.replace("\n", "").isprintable() and not any(p in text for p in _PAIRS)
+        if not plain and _SPACES.search(text) or any(s in text for s in self.special):
+            return self.whole(text)
+        head, *rest = text.split(" ")
+        return b"".join(map(self.known.__getitem__, [head, *[" " + p for p in rest]]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known, cut, new = self.known, [], set()
-        for t in texts:
-            if _SPACES.search(t) or any(s in t for s in self.special):
-                cut.append(None)
-                continue
-            head, *rest = t.split(" ")
-            parts = [head, *[" " + p for p in rest]]
-            new.update(p for p in parts if p not in known)
-            cut.append(parts)
-        todo = list(new)
-        for start in range(0, len(todo), 20_000):
-            known.update(zip(todo[start : start + 20_000], self.encode(todo[start : start + 20_000])))
-        return [self.encode([t])[0] if parts is None else b"".join(map(known.__getitem__, parts)) for t, parts in zip(texts, cut)]
-
-
-@lru_cache(maxsize=2)
-def ids_of(spec: str) -> Ids:
-    return Ids(spec)
+        for held in (self.known, self.words):
+            if len(held) > REMEMBERED:
+                held.clear()
+        return [self.one(t) for t in texts]
 
 
 def pieces_of(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
@@ -94,7 +116,7 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_co
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode = ids_of(shared.value)
+        encode = resident("ids", Ids, shared.value)
         for batch in batches:
             for part, texts in in_parts(batch, 1, 1_000_000):
                 found = [pieces_of(ids + end, capacity) for ids in encode(texts)]
