@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import resident, text_or_empty
 
 #: Characters above which a text is encoded in pieces.
 PIECE_CHARS = 20_000
@@ -26,9 +25,8 @@ PIECE_CHARS = 20_000
 _SAFE = regex.compile(r"(?<=[^\p{White_Space}])(?=\p{White_Space})")
 
 
-@lru_cache(maxsize=4)
 def encoding(ranks: bytes, pattern: str):
-    """A tiktoken encoding from the bytes of a rank file; kept for the life of a worker."""
+    """A tiktoken encoding from the bytes of a rank file."""
     import tiktoken
 
     table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
@@ -71,7 +69,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
     kind = source.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        enc = encoding(shared.value, pattern)
+        enc = resident("ranks", encoding, shared.value, pattern)
         for batch in batches:
             counts, ids_out, sha, back = [], [], [], []
             for value in batch.column(1):

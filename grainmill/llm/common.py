@@ -41,3 +41,15 @@ def text_or_empty(name: str = "text") -> Column:
 def digest(value: Column) -> Column:
     """SHA-256 of a string's UTF-8 bytes, lowercase hex."""
     return F.sha2(value, 256)
+
+
+_RESIDENT: dict = {}
+
+
+def resident(kind: str, build, *key):
+    """A model that a Python worker keeps from task to task: one at a time, so that the stages of a pipeline don't add up in its memory."""
+    name = (kind, key)
+    if name not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[name] = build(*key)
+    return _RESIDENT[name]

@@ -22,17 +22,19 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import resident
+
 
 STRETCH = 256
 #: Letters with a code of their own; others share SHARED codes by code point.
-OWN, SHARED = 190, 48
+OWN, SHARED = 190, 16
 #: Symbols from which a text that no language compresses can be told from a short one.
 ENOUGH = 40
 
@@ -90,14 +92,14 @@ class Model:
                 self.code[point] = own.get(low) or base + ord(low) % SHARED
                 self.letter[point] = kind == "L"
         self.width = width = base + SHARED
-        self.automata, tables, starts, sizes, at = [], [], [], [], 0
+        tables, starts, sizes, places, at = [], [], [], [], 0
         for _, texts in samples:
             symbols = np.concatenate([self.symbols("\n".join(texts)), np.zeros(1, np.uint8)]).tolist()
             a = Automaton(symbols)
             # The row after the last state's is for a symbol that the sample lacks, a phrase by itself.
             root = np.array([a.next[0].get(c, len(a.next)) for c in range(width)], np.int64)
             # Twice the place of the next row, plus 1 where a phrase ends first.
-            table = np.tile((root * width + at) * 2 + 1, (len(a.next) + 1, 1))
+            table = np.tile(((root * width + at) * 2 + 1).astype(np.int32), (len(a.next) + 1, 1))
             table[0] -= 1
             for state, row in enumerate(a.next):
                 for c, to in row.items():
@@ -105,10 +107,12 @@ class Model:
             tables.append(table.ravel())
             starts.append(at)
             sizes.append(math.log2(max(2, len(symbols))))
-            self.automata.append(a)
+            places.append(np.array([0, *a.places[1:], 0], np.int32))
             at += table.size
-        self.table = np.concatenate([*tables, np.zeros(1, np.int64)]).astype(np.int32 if at < 2**30 else np.int64)
-        self.starts, self.cost = np.array(starts, self.table.dtype), np.array(sizes)
+            if at >= 2**30:
+                raise ValueError("the samples are too large for one table: take fewer or shorter texts")
+        self.table = np.concatenate([*tables, np.zeros(1, np.int32)])
+        self.starts, self.cost, self.places = np.array(starts, np.int32), np.array(sizes), places
 
     def symbols(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -143,15 +147,14 @@ class Model:
 
     def familiar(self, lang: int, codes: np.ndarray) -> float:
         """Settles a tie: mean log of how often the phrases occur in the language's sample."""
-        a = self.automata[lang]
-        at, total, n = 0, 0.0, 0
+        places, first = self.places[lang], int(self.starts[lang])
+        at, total, n = first, 0.0, 0
         for c in codes.tolist():
-            to = a.next[at].get(c)
-            if to is None:
-                total, n = total + math.log1p(a.places[at] if at else 0), n + 1
-                to = a.next[0].get(c, 0)
-            at = to
-        return (total + math.log1p(a.places[at] if at else 0)) / (n + 1)
+            to = int(self.table[at + c])
+            if to & 1:
+                total, n = total + math.log1p(places[(at - first) // self.width]), n + 1
+            at = to >> 1
+        return (total + math.log1p(places[(at - first) // self.width])) / (n + 1)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
         """(language or 'und', score, bits per symbol) of each text; score is one minus the best entropy over the second best."""
@@ -176,11 +179,6 @@ class Model:
         return out
 
 
-@lru_cache(maxsize=2)
-def model_of(samples) -> Model:
-    return Model(samples)
-
-
 def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -219,7 +217,7 @@ def identify(df: DataFrame, samples: tuple, id_col: str = "doc_id", text_col: st
     kind = source.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        model = model_of(shared.value)
+        model = resident("languages", Model, shared.value)
         for batch in batches:
             for part, texts in in_parts(batch, 2):
                 got = model.predict(texts)
@@ -237,7 +235,7 @@ def identified(df: DataFrame, samples: tuple, text_col: str = "text") -> DataFra
     column = df.columns.index(text_col)
 
     def run(batches):
-        model = model_of(shared.value)
+        model = resident("languages", Model, shared.value)
         most = math.log2(model.width)
         for batch in batches:
             for part, texts in in_parts(batch, column):
@@ -249,7 +247,7 @@ def identified(df: DataFrame, samples: tuple, text_col: str = "text") -> DataFra
 
 def in_parts(batch: pa.RecordBatch, column: int, most: int = 4_000_000):
     """Slices of a batch with about ``most`` bytes of text, one row at least, and their texts."""
-    size = np.cumsum([len(t) if t else 0 for t in (v.as_py() for v in batch.column(column))])
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         before = size[start - 1] if start else 0

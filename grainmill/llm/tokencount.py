@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import resident, text_or_empty
 
 # A sigma's lower case away from a word's end, and two pairs newer than Python's tables.
 _LOWER = (("\u03a3", "\u03c3"), ("\ua7cb", "\u0264"), ("\ua7dc", "\u019b"))
@@ -148,11 +147,6 @@ def lower(text: str) -> str:
     return text.lower()
 
 
-@lru_cache(maxsize=2)
-def counter(spec: str) -> WordBpe:
-    return WordBpe(spec)
-
-
 def count_tokens(df: DataFrame, vocabulary_path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > ``limit``).
 
@@ -166,7 +160,7 @@ def count_tokens(df: DataFrame, vocabulary_path: str, limit: int = 2048, id_col:
     kind = source.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        bpe = counter(shared.value)
+        bpe = resident("counts", WordBpe, shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
