@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from grainmill.plans import corpus, duplicates, text
+from grainmill.plans import corpus, curation, duplicates, text
 
-MODULES = (corpus, text, duplicates)
+MODULES = (corpus, text, duplicates, curation)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
