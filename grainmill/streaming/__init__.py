@@ -16,6 +16,8 @@ def arrivals(spark: SparkSession, path: str, schema, files: int = 4) -> DataFram
 
 def event_counts(events: DataFrame, time: str = "ts", kind: str = "event_type", window: str = "1 hour", lateness: str = "1 day") -> DataFrame:
     """Rows and values by window and type; rows later than ``lateness`` are left out of windows that have closed."""
+    # A time without zone is taken in the session's.
+    events = events.withColumn(time, F.col(time).cast("timestamp"))
     return events.withWatermark(time, lateness).groupBy(F.window(time, window).alias("w"), kind).agg(F.count(F.lit(1)).alias("rows"), F.sum("value").alias("value")).select(F.col("w.start").alias("start"), kind, "rows", "value")
 
 
