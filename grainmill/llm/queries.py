@@ -66,5 +66,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sharding, op2_language_id, op3_packing, op4_token_counts, op5_secret_scans, op6_fingerprints, op7_simhash, op8_byte_bpe, op9_nearest_neighbours, op10_line_dedup)}
 
 
+#: CRC-32 by its table, the jump hash by a recursive query on wide integers, slots by lane and id.
+SHARDING_SQL = """with recursive
+crc_table as (select list(c order by n) as t from (select n, list_reduce(list_prepend(n::bigint, range(8)::bigint[]), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) as c from range(256) r(n))),
+raw as (select doc_id, strlen(coalesce(text, '')) as n, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint) as b from documents),
+crc as (select doc_id, n, case when n = 0 then 0 else xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::bigint) end as text_crc32 from raw, crc_table),
+jumps(doc_id, state, spot, shard, grown) as (
+  select doc_id, case when doc_id < 0 then doc_id::hugeint + 18446744073709551616 else doc_id::hugeint end, 0::bigint, 0::bigint, 0::bigint from documents
+  union all
+  select doc_id, s, floor((spot + 1)::double * (2147483648.0::double / ((s // 8589934592) + 1)::double))::bigint, case when spot < 40 then spot else shard end, spot
+  from (select *, (state % 4294967296 * 2862933555777941757 + (state // 4294967296 * 2862933555777941757) % 4294967296 * 4294967296 + 1) % 18446744073709551616 as s from jumps where spot <= 40)),
+placed as (select doc_id, max(shard)::int as shard, max(grown)::int as grown_shard from jumps group by 1),
+lanes as (select doc_id, text_crc32, n + 16 as size, shard, grown_shard, (((case when doc_id < 0 then doc_id::hugeint + 18446744073709551616 else doc_id::hugeint end) % 4294967296 * 2862933555777941757 + 1) % 4294967296 * 64 // 4294967296)::int as lane from crc join placed using (doc_id))
+select doc_id, size, text_crc32, 'key' as law, shard, row_number() over (partition by shard order by lane, doc_id) - 1 as slot, grown_shard from lanes"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_sharding": SHARDING_SQL}

@@ -50,6 +50,13 @@ def jump(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(shards)), start, step, lambda acc: F.struct(acc["shard"], acc["grown"]))
 
 
+def lane_of(key: Column, lanes: int) -> Column:
+    """One of ``lanes`` from the lower half of the generator's next state, which the first jump does not look at."""
+    key = F.coalesce(key.cast("long"), F.lit(0).cast("long"))
+    _, lo = _advance(F.shiftrightunsigned(key, 32), key.bitwiseAND(U32))
+    return F.shiftright(lo * lanes, 32).cast("int")
+
+
 def key_of(df: DataFrame, id_col: str) -> Column:
     """Integer ids are their own key; other types are hashed."""
     kind = df.schema[id_col].dataType.typeName()
@@ -71,8 +78,8 @@ def shard_documents(df: DataFrame, shards: int, id_col: str = "doc_id", text_col
     get a slot of their own; an empty table gives an empty result; other columns are ignored.
     """
     placed = jump(key_of(df, id_col), shards)
-    # The lane has to depend on the id alone, so that counting it needs no other column.
-    lane = F.pmod(F.xxhash64(F.col(id_col), F.lit("lane")), F.lit(lanes)).cast("int")
+    # The lane depends on the id alone, so counting it needs no other column.
+    lane = lane_of(key_of(df, id_col), lanes)
     starts = df.select(placed["shard"].alias("shard"), lane.alias("lane")).groupBy("shard", "lane").count()
     starts = starts.select("shard", "lane", F.expr("sum(count) over (partition by shard order by lane rows between unbounded preceding and current row) - count").alias("start"))
     rows = df.select(
