@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .ann import nearest
 from .bpe import encode_documents
@@ -59,7 +60,8 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(table(spark, sf_dir, "documents"))
+    report = line_report(table(spark, sf_dir, "documents"))
+    return report.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -81,5 +83,20 @@ lanes as (select doc_id, text_crc32, n + 16 as size, shard, grown_shard, (((case
 select doc_id, size, text_crc32, 'key' as law, shard, row_number() over (partition by shard order by lane, doc_id) - 1 as slot, grown_shard from lanes"""
 
 
+#: Lines within one edit share their first or last half with one of about their length; what stands before and after the edit is equal.
+LINE_DEDUP_SQL = r"""with s as (select doc_id, string_split(text, chr(10)) as s from documents where doc_id is not null and text is not null),
+l as (select doc_id, no, trim(raw, ' ' || chr(9) || chr(13)) as line from (select doc_id, unnest(s) as raw, unnest(range(len(s))) as no from s)),
+o as (select * from l where length(line) >= 20),
+c as (select line, min(struct_pack(d := doc_id, n := no)) as first, length(line) as n from o group by line),
+k as (select line, first, n, m, left(line, m // 2) as lh, right(line, m - m // 2) as rh from (select *, unnest([n, n - 1]) as m from c)),
+p as (select a.line as x, b.line as y, a.n as xn, b.n as yn from k a join k b on a.m = b.m and a.lh = b.lh where a.first < b.first
+  union select a.line, b.line, a.n, b.n from k a join k b on a.m = b.m and a.rh = b.rh where a.first < b.first),
+near as (select distinct y as line from p where case when xn = yn then len(list_filter(range(xn), lambda i: left(x, i) = left(y, i) and substr(x, i + 2) = substr(y, i + 2))) > 0
+  when xn < yn then len(list_filter(range(yn), lambda i: left(x, i) = left(y, i) and substr(x, i + 1) = substr(y, i + 2))) > 0
+  else len(list_filter(range(xn), lambda i: left(x, i) = left(y, i) and substr(y, i + 1) = substr(x, i + 2))) > 0 end),
+r as (select doc_id, string_agg(cast(no as varchar), ',' order by no) as removed, count(*) as n_removed from o join c using (line) where line in (select line from near) or (doc_id, no) <> (first.d, first.n) group by 1)
+select doc_id, coalesce(len(string_split(text, chr(10))), 0) as n_lines, coalesce(n_removed, 0) as n_removed, coalesce(removed, '') as removed from documents left join r using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": SHARDING_SQL}
+    return {"op1_sharding": SHARDING_SQL, "op10_line_dedup": LINE_DEDUP_SQL}

@@ -1,14 +1,17 @@
 import duckdb
+import pytest
 
 from grainmill.llm.queries import oracle_sql, queries
 
 
-def test_sharding_equals_its_sql(spark):
-    folder = "/root/testdata/sf0.001"
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_its_sql(spark, name, sf):
+    folder = f"/root/testdata/{sf}"
     connection = duckdb.connect()
     connection.execute(f"create view documents as select * from '{folder}/documents.parquet'")
-    result = connection.execute(oracle_sql()["op1_sharding"])
+    result = connection.execute(oracle_sql()[name])
     names = [d[0] for d in result.description]
-    df = queries()["op1_sharding"](spark, folder)
+    df = queries()[name](spark, folder)
     assert sorted(names) == sorted(df.columns)
     assert sorted(tuple(row[names.index(c)] for c in df.columns) for row in result.fetchall()) == sorted(map(tuple, df.collect()))
