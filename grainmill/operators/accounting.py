@@ -125,3 +125,48 @@ def render_markdown(rows: list[dict], columns: list[str]) -> str:
     body = sorted(rows, key=lambda r: str(r[columns[0]]))
     lines = ["| " + " | ".join(columns) + " |", "|" + " --- |" * len(columns)]
     return "\n".join(lines + ["| " + " | ".join(cell(r[c]) for c in columns) + " |" for r in body])
+
+
+def parse_markdown(text: str) -> list[dict[str, str | int | float]]:
+    """Rows of the first table of a markdown report; numbers lose their thousands separators."""
+    def value(cell: str):
+        bare = cell.replace(",", "")
+        for kind in (int, float):
+            try:
+                return kind(bare)
+            except ValueError:
+                pass
+        return cell
+
+    lines = [x.strip() for x in text.splitlines()]
+    start = next((n for n, x in enumerate(lines[:-1]) if x.startswith("|") and set(lines[n + 1]) <= set("|-: ") and "-" in lines[n + 1]), None)
+    if start is None:
+        return []
+    import re
+
+    def cells(line: str) -> list[str]:
+        return [c.strip().replace("\\|", "|") for c in re.split(r"(?<!\\)\|", line)[1:-1]]
+
+    names, out = cells(lines[start]), []
+    for line in lines[start + 2 :]:
+        if not line.startswith("|"):
+            break
+        out.append(dict(zip(names, map(value, cells(line)))))
+    return out
+
+
+def named_sources(plan: str, known: list[str]) -> list[str]:
+    """Known sources that a plan's text names, in the order they first appear."""
+    low = plan.lower()
+    return sorted((s for s in known if s.lower() in low), key=lambda s: low.index(s.lower()))
+
+
+def metadata_columns(frames: list[DataFrame], text_col: str) -> list[str]:
+    """Columns other than the text, in the order first seen over several tables."""
+    return list(dict.fromkeys(c for df in frames for c in df.columns if c != text_col))
+
+
+def ensure_match(compared: DataFrame) -> DataFrame:
+    """The comparison, which raises an error as it is read if a row does not match."""
+    failure = F.raise_error(F.concat(F.lit("accounting differs: "), F.to_json(F.struct(*compared.columns))))
+    return compared.withColumn("status", F.when(F.col("status") == "match", F.col("status")).otherwise(failure.cast("string")))
