@@ -12,6 +12,9 @@ characters untouched, p being the largest power of two in half the shorter line.
 share such an end with another line of about their length emit variants, and only for positions
 outside the shared end.
 
+Lines of one character share only the empty end, with each other and with lines of two; all of
+those emit variants, and there are no more of them than an alphabet has pairs.
+
 A line stays if none like it comes earlier, in order of document id and line number; a line within
 the bound of an earlier one goes with all its repeats, whether or not that earlier one stays.
 """
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint
 
-#: Lines with fewer characters are structure rather than content, and always stay.
-MIN_CHARS = 20
+#: Every line that is not blank is compared.
+MIN_CHARS = 1
 #: More lines than a document can have; makes one ordered number of a document id and a line number.
 SPAN = 10_000_000_000
 BLANK = " \t\r"
@@ -44,8 +47,8 @@ def bare(line: Column) -> Column:
 
 
 def _reach(n: Column) -> Column:
-    """The largest power of two in half of n."""
-    return F.call_function("shiftleft", F.lit(1), F.length(F.bin(F.floor(n / 2))) - 1)
+    """The largest power of two in half of n; 0 for a line of one character, of which an edit may leave nothing."""
+    return F.when(n < 2, 0).otherwise(F.call_function("shiftleft", F.lit(1), F.length(F.bin(F.floor(n / 2))) - 1))
 
 
 def _occurrences(df: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:

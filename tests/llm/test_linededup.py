@@ -78,3 +78,13 @@ def test_documents(spark):
     assert out[0].__fields__ == df.columns
     kept = {i: "\n".join(line for n, line in enumerate(t.split("\n")) if n not in want[i]) for i, t in texts.items()}
     assert {r.doc_id: r.text for r in out} == {i: t for i, t in kept.items() if t.strip()}
+
+
+def test_short_lines(spark):
+    rnd = random.Random(11)
+    lines = ["".join(rnd.choice("abcdefgh é🙂中文") for _ in range(rnd.randrange(0, 20))) for _ in range(400)]
+    rows = [(i, "\n".join(rnd.choice(lines) for _ in range(rnd.randrange(1, 9)))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sum(map(len, check(df).values())) > 300
+    menu = spark.createDataFrame([(1, "Read more\n\nMIT\n这是一句话。\na\n"), (2, "Read more\n\nGPL-2\n这是一句话。\nread more\nbc\nb"), (3, " MIT\nReed more\n")], "doc_id long, text string")
+    assert {r.doc_id: r.removed for r in line_report(menu).collect()} == {1: [], 2: [0, 3, 4, 6], 3: [0, 1]}
