@@ -3,9 +3,9 @@
 The units are words. A k-mer of K words is an anchor if, among the hashes of its inner runs of S
 words, the smallest is the first or the last. That depends on the k-mer alone, so an anchor stays
 one wherever its words move, and among K - S + 1 k-mers in a row there is at least one. A text's
-fingerprint holds the SKETCH smallest 32-bit hashes of its distinct anchors, ascending, eight hex
-digits each; the share of common hashes among the smallest of two texts together estimates the
-Jaccard likeness of their anchor sets.
+fingerprint holds the 32-bit hashes of all its distinct anchors, ascending, eight hex digits each,
+and beside it the places where each of them stands; the share of common hashes among those of two
+texts is the Jaccard likeness of their anchor sets.
 
 Text whose words are longer than LONG characters on average (scripts without spaces) is cut into
 units of UNIT characters first. A text with fewer than K words, or without an anchor, has one
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import U32, digest, parallelism, text_or_empty
 
-K, S, SKETCH = 5, 2, 64
+#: SKETCH bounds the hashes of a fingerprint; None keeps all.
+K, S, SKETCH = 5, 2, None
 LONG, UNIT = 24, 16
 SPACE = r"[ \t-\r]+"
 
@@ -47,15 +48,17 @@ def _anchor(inner: str):
 
 
 def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: the sketch of a text column as an ascending array<long>."""
+    """Adds ``out``, the distinct anchor hashes of a text column as an ascending array<long>, and ``out``_at, array<struct(place, hash)> of all anchors in order of place."""
     df = _columns(df, text, out)
     words, inner = F.col(f"{out}_words"), f"{out}_inner"
     at = _anchor(inner)
     # Two arguments: the element and its place.
-    hashes = F.array_compact(F.transform(inner, lambda x, i: at(x, i).bitwiseAND(U32)))
-    df = df.withColumn(out, F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH))
-    whole = F.array(F.xxhash64(words).bitwiseAND(U32))
-    return df.withColumn(out, F.when((F.size(out) > 0) | (F.size(words) == 0), F.col(out)).otherwise(whole)).drop(f"{out}_words", inner)
+    placed = F.filter(F.transform(inner, lambda x, i: F.struct(i.alias("place"), at(x, i).bitwiseAND(U32).alias("hash"))), lambda a: a["hash"].isNotNull())
+    whole = F.array(F.struct(F.lit(0).alias("place"), F.xxhash64(words).bitwiseAND(U32).alias("hash")))
+    df = df.withColumn(f"{out}_at", placed)
+    df = df.withColumn(f"{out}_at", F.when((F.size(f"{out}_at") > 0) | (F.size(words) == 0), F.col(f"{out}_at")).otherwise(whole))
+    hashes = F.array_sort(F.array_distinct(F.col(f"{out}_at")["hash"]))
+    return df.withColumn(out, hashes if SKETCH is None else F.slice(hashes, 1, SKETCH)).drop(f"{out}_words", inner)
 
 
 def anchors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,14 +73,23 @@ def anchors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(id_col, F.inline(F.filter(found, lambda a: a["hash"].isNotNull())))
 
 
+def _digits(h: Column) -> Column:
+    return F.lpad(F.lower(F.hex(h)), 8, "0")
+
+
 def shown(sketch: Column) -> Column:
-    return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+    return F.array_join(F.transform(sketch, _digits), "")
+
+
+def shown_places(placed: Column) -> Column:
+    """place:hash of every anchor, comma-joined."""
+    return F.array_join(F.transform(placed, lambda a: F.concat_ws(":", a["place"].cast("string"), _digits(a["hash"]))), ",")
 
 
 def likeness(a: str, b: str) -> Column:
-    """Estimated Jaccard likeness of two sketches, 0 to 1; two empty ones are alike."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    common = F.array_intersect(F.array_intersect(a, b), union)
+    """Jaccard likeness of two fingerprints, 0 to 1; two empty ones are alike. An estimate if SKETCH bounds them."""
+    union = F.array_union(a, b) if SKETCH is None else F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    common = F.array_intersect(a, b) if SKETCH is None else F.array_intersect(F.array_intersect(a, b), union)
     return F.when(F.size(F.array_union(a, b)) == 0, 1.0).otherwise(F.size(common) / F.greatest(F.size(union), F.lit(1))).cast("double")
 
 
@@ -109,7 +121,8 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fingerprints every text and its edited form, and compares them.
 
     One row per input row: id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next. The edited text has its last floor(n_chars / 2) characters replaced by
+    near_edited, near_next, anchors, edited_anchors (place:hash of every anchor, place being the
+    number of its first word). The edited text has its last floor(n_chars / 2) characters replaced by
     the first as many of the next document's (all of a shorter one), in order of the id, then text;
     the first row follows the last, and a single row follows itself.
 
@@ -128,4 +141,5 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.select(
         id_col, F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", shown(F.col("own")).alias("fingerprint"),
         shown(F.col("other")).alias("edited_fingerprint"), likeness("own", "other").alias("near_edited"), likeness("own", "following").alias("near_next"),
+        shown_places(F.col("own_at")).alias("anchors"), shown_places(F.col("other_at")).alias("edited_anchors"),
     )

@@ -96,3 +96,20 @@ def test_anchors_have_no_long_gap(spark):
     # An anchor depends on its words alone.
     moved = anchors(spark.createDataFrame([(1, "other words before " + text)], "doc_id long, text string")).collect()
     assert {r.hash for r in rows} <= {r.hash for r in moved}
+
+
+def test_long_texts_that_share_a_passage(spark):
+    words = [f"w{n * 7919 % 100_003}" for n in range(40_100)]
+    passage = words[40_000:]
+    texts = [" ".join(words[:9_000] + passage + words[9_000:20_000]), " ".join(words[20_000:33_000] + passage + words[33_000:40_000])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in fingerprint_documents(df).collect()}
+    assert rows[0].near_next > 0
+    for i in (0, 1):
+        placed = [(int(p), h) for p, h in (a.split(":") for a in rows[i].anchors.split(","))]
+        assert placed == [(r.place, f"{r.hash & 0xFFFFFFFF:08x}") for r in anchors(df.where(f"doc_id = {i}")).orderBy("place").collect()]
+        assert rows[i].fingerprint == "".join(sorted({h for _, h in placed}))
+    # Common hashes line up at one distance, that of the passage in the two texts.
+    at = {h: int(p) for p, h in (a.split(":") for a in rows[0].anchors.split(","))}
+    apart = [int(p) - at[h] for p, h in (a.split(":") for a in rows[1].anchors.split(",")) if h in at]
+    assert apart.count(4_000) >= 24
