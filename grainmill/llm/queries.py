@@ -86,7 +86,7 @@ select doc_id, size, text_crc32, 'key' as law, shard, row_number() over (partiti
 #: Lines within one edit share their first or last half with one of about their length; what stands before and after the edit is equal.
 LINE_DEDUP_SQL = r"""with s as (select doc_id, string_split(text, chr(10)) as s from documents where doc_id is not null and text is not null),
 l as (select doc_id, no, trim(raw, ' ' || chr(9) || chr(13)) as line from (select doc_id, unnest(s) as raw, unnest(range(len(s))) as no from s)),
-o as (select * from l where length(line) >= 20),
+o as (select * from l where length(line) > 0),
 c as (select line, min(struct_pack(d := doc_id, n := no)) as first, length(line) as n from o group by line),
 k as (select line, first, n, m, left(line, m // 2) as lh, right(line, m - m // 2) as rh from (select *, unnest([n, n - 1]) as m from c)),
 p as (select a.line as x, b.line as y, a.n as xn, b.n as yn from k a join k b on a.m = b.m and a.lh = b.lh where a.first < b.first

@@ -1,6 +1,9 @@
 import random
 
-from grainmill.llm.linededup import MIN_CHARS, line_report, without_repeats
+import numpy as np
+
+from grainmill.llm import linededup
+from grainmill.llm.linededup import BAND, Hashes, ends, line_report, meetings, without_repeats
 
 
 def within_one(a, b):
@@ -13,17 +16,14 @@ def within_one(a, b):
 
 
 def brute(rows):
-    """Every line against every earlier one."""
-    docs = {}
-    for r in rows:
-        if r.doc_id is not None and r.text is not None:
-            docs[r.doc_id] = r.text
+    """Every line against every earlier one, by id: the operator may take rows of one id in any order, so tests give those no lines in common."""
+    docs = {(r.doc_id, r.text) for r in rows if r.doc_id is not None and r.text is not None}
     seen, removed = [], {}
-    for i in sorted(docs):
+    for i, text in sorted(docs):
         removed[i] = []
-        for n, line in enumerate(docs[i].split("\n")):
+        for n, line in enumerate(text.split("\n")):
             line = line.strip(" \t\r")
-            if len(line) < MIN_CHARS:
+            if not line:
                 continue
             if any(within_one(line, other) for other in seen):
                 removed[i].append(n)
@@ -88,3 +88,66 @@ def test_short_lines(spark):
     assert sum(map(len, check(df).values())) > 300
     menu = spark.createDataFrame([(1, "Read more\n\nMIT\n这是一句话。\na\n"), (2, "Read more\n\nGPL-2\n这是一句话。\nread more\nbc\nb"), (3, " MIT\nReed more\n")], "doc_id long, text string")
     assert {r.doc_id: r.removed for r in line_report(menu).collect()} == {1: [], 2: [0, 3, 4, 6], 3: [0, 1]}
+
+
+def test_rows_that_repeat_an_id(spark):
+    rows = [(1, "first line of all\nsecond line here"), (3, "first line of all\nkept in one"), (3, "quite another line here\nkept in two"), (3, "quite another line here\nkept in two"), (4, "Quite another line here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted((r.doc_id, r.removed) for r in line_report(df).collect()) == [(1, []), (3, []), (3, []), (3, [0]), (4, [0])]
+    kept = sorted((r.doc_id, r.text) for r in without_repeats(df).collect())
+    assert kept == [(1, rows[0][1]), (3, "kept in one"), (3, rows[2][1]), (3, rows[2][1])]
+
+
+def test_lines_within_one_edit_share_an_end():
+    rnd = random.Random(3)
+    for n in [*range(1, 40), 200]:
+        for _ in range(20):
+            line = "".join(rnd.choice("ab") for _ in range(n))
+            other = mutate(rnd, line).strip()
+            if not other or other == line:
+                continue
+            which, key, _ = ends([line, other])
+            assert set(key[which == 0].tolist()) & set(key[which == 1].tolist()), (line, other)
+    assert BAND > 1
+
+
+def test_hashes_are_of_the_string_alone():
+    lines = ["abcabc", "xabcabc", "abc", "é🙂" * 700, "z"]
+    hashes = Hashes(lines)
+    assert hashes.first(np.array([3, 0, 3, 0, 0]))[0] == hashes.first(np.array([3, 0, 3, 0, 0]))[2] == hashes.last(np.array([3, 3, 3, 2, 0]))[1]
+    flat = np.array([6])
+    assert hashes.without(flat, np.array([1]))[0] == hashes.first(hashes.n)[0]
+
+
+def test_verification():
+    rnd = random.Random(9)
+    for _ in range(3000):
+        a = "".join(rnd.choice("ab") for _ in range(rnd.randrange(0, 7)))
+        b = "".join(rnd.choice("ab") for _ in range(rnd.randrange(0, 7)))
+        assert linededup.within_one(a, b) == within_one(a, b), (a, b)
+
+
+def test_meetings():
+    # Two lines cut at the same place, one cut elsewhere, and a whole line, which comes second.
+    key, check = np.zeros(4, np.int64), np.zeros(4, np.int32)
+    got = meetings(key, check, np.array([2, -1, 5, 2]), np.array([10, 11, 12, 13]))
+    assert sorted(zip(*got)) == [(11, 10), (12, 11), (13, 10), (13, 11)]
+
+
+def test_long_lines(spark):
+    long = "".join(random.Random(1).choice("abcdefgh ") for _ in range(1_000_000))
+    rows = [(1, long + "!"), (2, long[:500_000] + "Z" + long[500_000:] + "!"), (3, long[:400_000] + "##" + long[400_001:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.removed for r in line_report(df).collect()} == {1: [], 2: [0], 3: []}
+
+
+def test_template_with_many_ends(spark):
+    rows = [(n, f"a template that all lines share, number {n:07d}") for n in range(0, 40_000, 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    # Numbers 0, 20 .. 80 differ from one another in one digit.
+    want = set()
+    for n, _ in rows:
+        digits = f"{n:07d}"
+        if any(int(digits[:i] + c + digits[i + 1 :]) < n and int(digits[:i] + c + digits[i + 1 :]) % 20 == 0 for i in range(7) for c in "0123456789"):
+            want.add(n)
+    assert {r.doc_id for r in line_report(df).where("n_removed > 0").collect()} == want
