@@ -14,12 +14,12 @@ alone need no packing.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,44 +29,67 @@ from .langid import in_parts
 from .tokencount import byte_alphabet
 
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 4096, 3, 2, 5, 6, 2
-#: Stretches of text whose ids a worker remembers before it starts anew; it bounds memory, not results.
+#: Stretches of text, and pre-tokens, whose ids a worker remembers before it keeps only those of the text at hand; it bounds memory, not results.
 REMEMBERED = 400_000
+#: Bytes of text whose ids are looked up at once.
+AT_ONCE = 16_000_000
 
-_SPACES = re.compile(r"\s\s|[\x1c-\x1f]")
-_PAIRS = ("  ", "\n\n", " \n", "\n ")
+# Where a space stands inside a run of white space, or ends a text after other white space: no place to cut. \s is more than the property White_Space.
+_NO_CUT = re.compile(r"\s \s|\s \Z")
 # Fixed value: the pattern by which byte-level vocabularies split a text; white space is that property.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 
-class Words(dict):
-    """Ids of pre-tokens, by the library's merge model."""
-
-    def __init__(self, model):
-        self.model, self.letters = model, dict(enumerate(byte_alphabet()))
-
-    def __missing__(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-        found = self[word] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
-
-
-class Stretches(dict):
-    """Ids of stretches of text between safe places."""
-
-    def __init__(self, words: Words):
-        self.words = words
-
-    def __missing__(self, text: str) -> bytes:
-        found = self[text] = b"".join(map(self.words.__getitem__, SPLIT.findall(text)))
-        return found
+def gathered(start: np.ndarray, length: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``start``, one after the other."""
+    end = np.cumsum(length)
+    return flat[np.repeat(start - (end - length), length) + np.arange(int(end[-1]) if len(end) else 0)]
+
+
+class Store:
+    """Ids of distinct strings, as flat arrays; ``make`` gives (lengths, ids) of strings not seen before."""
+
+    def __init__(self, make):
+        self.make, self.keys = make, pa.array([], pa.string())
+        self.start = self.length = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def find(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(start, length) in ``flat`` of each of the distinct strings ``keys``."""
+        at = pc.index_in(keys, value_set=self.keys)
+        missing = pc.is_null(at).to_numpy(zero_copy_only=False)
+        at = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if missing.any():
+            new = keys.filter(pa.array(missing))
+            length, ids = self.make(new.to_pylist())
+            if len(self.keys) + len(new) > REMEMBERED:
+                kept = at[~missing]
+                self.keys, self.flat = keys.filter(pa.array(~missing)), gathered(self.start[kept], self.length[kept], self.flat)
+                self.length = self.length[kept]
+                self.start = np.cumsum(self.length) - self.length
+                at[~missing] = np.arange(len(kept))
+            at[missing] = np.arange(len(self.keys), len(self.keys) + len(new))
+            self.start = np.append(self.start, len(self.flat) + np.cumsum(length) - length)
+            self.length = np.append(self.length, length)
+            self.keys, self.flat = pa.concat_arrays([self.keys, new]), np.append(self.flat, ids)
+        return self.start[at], self.length[at]
+
+
+def _all_of(store: Store, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(length, ids) of strings that may repeat."""
+    coded = strings.dictionary_encode()
+    start, length = store.find(coded.dictionary)
+    index = coded.indices.to_numpy()
+    return length[index], gathered(start[index], length[index], store.flat)
 
 
 class Ids:
     """Ids of whole texts by the tokenizers library, as little-endian unsigned 32-bit bytes.
 
-    No token of a byte-level vocabulary spans a place where a single space follows a non-space and
-    stands before another; stretches between such places, and the pre-tokens in them, are encoded
-    once and remembered. Texts with longer runs of white space, or with the string of a special
+    No pre-token spans the place before a space unless that space stands inside a run of white
+    space. Texts are cut there, and the distinct stretches of a batch, and the distinct pre-tokens
+    in those not seen before, are looked up at once; only new pre-tokens go through the library's
+    merge model. Texts with spaces inside a run of white space, or with the string of a special
     token, are encoded whole.
     """
 
@@ -78,25 +101,59 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = Words(self.tokenizer.model)
-        self.known = Stretches(self.words)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def one(self, text: str) -> bytes:
+        self.letters = dict(enumerate(byte_alphabet()))
+        self.words, self.stretches = Store(self._merge), Store(self._split)
+
+    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        found = [[t.id for t in tokenize(w.encode().decode("latin-1").translate(letters))] for w in words]
+        return np.array([len(f) for f in found], np.int64), np.array([i for f in found for i in f], np.uint32)
+
+    def _split(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # Stretches of a space and a word join to a text that splits as they do; others are split one by one.
+        plain = np.array([len(t) > 1 and t[0] == " " and not t[1].isspace() and not t[-1].isspace() for t in stretches], bool)
+        words = SPLIT.findall("".join(t for t, p in zip(stretches, plain.tolist()) if p))
+        ends = np.cumsum([len(w) for w in words])
+        counts = np.zeros(len(stretches), np.int64)
+        counts[plain] = np.diff(np.searchsorted(ends, np.cumsum([len(t) for t, p in zip(stretches, plain.tolist()) if p]), side="left") + 1, prepend=0) if plain.any() else 0
+        others = [SPLIT.findall(stretches[n]) for n in np.flatnonzero(~plain)]
+        counts[~plain] = [len(o) for o in others]
+        length, ids = _all_of(self.words, pa.array(words + [w for o in others for w in o], pa.string()))
+        # Words stand in order of plain stretches, then others.
+        order = np.append(np.flatnonzero(plain), np.flatnonzero(~plain))
+        before = np.append(0, np.cumsum(length))
+        last = np.cumsum(counts[order])
+        stop = before[last]
+        start = before[last - counts[order]]
+        back = np.argsort(order)
+        start, size = start[back], (stop - start)[back]
+        return size, gathered(start, size, ids)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def can_be_cut(self, text: str) -> bool:
         # Printable but for newlines: then the only white space is these and the plain space.
-        plain = text.replace("\n", "").isprintable() and not any(p in text for p in _PAIRS)
-        if not plain and _SPACES.search(text) or any(s in text for s in self.special):
-            return self.whole(text)
-        head, *rest = text.split(" ")
-        return b"".join(map(self.known.__getitem__, [head, *[" " + p for p in rest]]))
+        plain = text.replace("\n", "").isprintable() and "  " not in text and "\n " not in text
+        return (plain or not _NO_CUT.search(text)) and not any(s in text for s in self.special)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        for held in (self.known, self.words):
-            if len(held) > REMEMBERED:
-                held.clear()
-        return [self.one(t) for t in texts]
+        cut = [self.can_be_cut(t) for t in texts]
+        parts = pc.split_pattern(pa.array([t if c else "" for t, c in zip(texts, cut)], pa.string()), " ")
+        flat, offsets = parts.flatten().cast(pa.string()), parts.offsets.to_numpy()
+        first = np.zeros(len(flat), bool)
+        first[offsets[:-1]] = True
+        heads, rest = flat.filter(pa.array(first)).dictionary_encode(), flat.filter(pa.array(~first)).dictionary_encode()
+        spaced = pc.binary_join_element_wise("", rest.dictionary, " ")
+        keys = pa.concat_arrays([heads.dictionary, spaced]).dictionary_encode()
+        start, length = self.stretches.find(keys.dictionary)
+        place = keys.indices.to_numpy()
+        index = np.empty(len(flat), np.int64)
+        index[first] = place[heads.indices.to_numpy()]
+        index[~first] = place[len(heads.dictionary) + rest.indices.to_numpy()]
+        ids = gathered(start[index], length[index], self.stretches.flat).astype("<u4", copy=False)
+        bounds = np.append(0, np.cumsum(length[index]))[offsets].tolist()
+        return [(ids[a:b] if c else self.whole(t)).tobytes() for t, c, a, b in zip(texts, cut, bounds, bounds[1:])]
 
 
 def pieces_of(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
@@ -118,7 +175,7 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_co
     def run(batches):
         encode = resident("ids", Ids, shared.value)
         for batch in batches:
-            for part, texts in in_parts(batch, 1, 1_000_000):
+            for part, texts in in_parts(batch, 1, AT_ONCE):
                 found = [pieces_of(ids + end, capacity) for ids in encode(texts)]
                 row = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 numbers = np.array([p for f in found for p in f], np.int64).reshape(-1, 4)

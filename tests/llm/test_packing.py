@@ -30,6 +30,17 @@ def test_ids_equal_the_library(ids, library):
     texts += [" ".join("".join(rnd.choice(list("abc'.é9"), rnd.integers(1, 5))) for _ in range(20)) for _ in range(500)]
     want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
     assert ids(texts) == want and ids(texts) == want
+    assert ids([]) == []
+
+
+def test_ids_when_little_is_remembered(library, monkeypatch):
+    monkeypatch.setattr("grainmill.llm.packing.REMEMBERED", 50)
+    with open(PATH, encoding="utf-8") as file:
+        ids = Ids(file.read())
+    rnd = np.random.default_rng(5)
+    for _ in range(60):
+        texts = [" ".join("".join(rnd.choice(list("abc\n.é"), rnd.integers(0, 4))) for _ in range(12)) for _ in range(6)]
+        assert ids(texts) == [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_pieces():
