@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -61,7 +62,7 @@ class Store:
         at = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
         if missing.any():
             new = keys.filter(pa.array(missing))
-            length, ids = self.make(new.to_pylist())
+            length, ids = self.make(new)
             if len(self.keys) + len(new) > REMEMBERED:
                 kept = at[~missing]
                 self.keys, self.flat = keys.filter(pa.array(~missing)), gathered(self.start[kept], self.length[kept], self.flat)
@@ -104,30 +105,33 @@ class Ids:
         self.letters = dict(enumerate(byte_alphabet()))
         self.words, self.stretches = Store(self._merge), Store(self._split)
 
-    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        tokenize, letters = self.tokenizer.model.tokenize, self.letters
-        found = [[t.id for t in tokenize(w.encode().decode("latin-1").translate(letters))] for w in words]
-        return np.array([len(f) for f in found], np.int64), np.array([i for f in found for i in f], np.uint32)
+    def _merge(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(pc.binary_length(words).to_numpy()).tolist()
+        letters = "".join(words.to_pylist()).encode().decode("latin-1").translate(self.letters)
+        tokenize = self.tokenizer.model.tokenize
+        found = [[t.id for t in tokenize(letters[a:b])] for a, b in zip([0, *ends], ends)]
+        return np.fromiter(map(len, found), np.int64, len(found)), np.fromiter(chain.from_iterable(found), np.uint32)
 
-    def _split(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _split(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         # Stretches of a space and a word join to a text that splits as they do; others are split one by one.
-        plain = np.array([len(t) > 1 and t[0] == " " and not t[1].isspace() and not t[-1].isspace() for t in stretches], bool)
-        words = SPLIT.findall("".join(t for t, p in zip(stretches, plain.tolist()) if p))
-        ends = np.cumsum([len(w) for w in words])
+        edges = (pc.utf8_slice_codeunits(stretches, 0, 1), pc.utf8_slice_codeunits(stretches, 1, 2), pc.utf8_slice_codeunits(stretches, -1))
+        space = [pc.utf8_is_space(e).to_numpy(zero_copy_only=False) for e in edges]
+        size = pc.utf8_length(stretches).to_numpy()
+        plain = (size > 1) & space[0] & ~space[1] & ~space[2]
+        words = SPLIT.findall("".join(stretches.filter(pa.array(plain)).to_pylist()))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         counts = np.zeros(len(stretches), np.int64)
-        counts[plain] = np.diff(np.searchsorted(ends, np.cumsum([len(t) for t, p in zip(stretches, plain.tolist()) if p]), side="left") + 1, prepend=0) if plain.any() else 0
-        others = [SPLIT.findall(stretches[n]) for n in np.flatnonzero(~plain)]
+        counts[plain] = np.diff(np.searchsorted(ends, np.cumsum(size[plain]), side="left") + 1, prepend=0)
+        others = [SPLIT.findall(t) for t in stretches.filter(pa.array(~plain)).to_pylist()]
         counts[~plain] = [len(o) for o in others]
         length, ids = _all_of(self.words, pa.array(words + [w for o in others for w in o], pa.string()))
         # Words stand in order of plain stretches, then others.
         order = np.append(np.flatnonzero(plain), np.flatnonzero(~plain))
         before = np.append(0, np.cumsum(length))
         last = np.cumsum(counts[order])
-        stop = before[last]
-        start = before[last - counts[order]]
-        back = np.argsort(order)
-        start, size = start[back], (stop - start)[back]
-        return size, gathered(start, size, ids)
+        start, stop = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        start[order], stop[order] = before[last - counts[order]], before[last]
+        return stop - start, gathered(start, stop - start, ids)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
