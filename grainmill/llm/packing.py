@@ -33,7 +33,7 @@ BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 4096, 3, 2, 5, 6, 2
 #: Stretches of text, and pre-tokens, whose ids a worker remembers before it keeps only those of the text at hand; it bounds memory, not results.
 REMEMBERED = 400_000
 #: Bytes of text whose ids are looked up at once.
-AT_ONCE = 16_000_000
+AT_ONCE = 6_000_000
 
 # Where a space stands inside a run of white space, or ends a text after other white space: no place to cut. \s is more than the property White_Space.
 _NO_CUT = re.compile(r"\s \s|\s \Z")
@@ -114,10 +114,10 @@ class Ids:
 
     def _split(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         # Stretches of a space and a word join to a text that splits as they do; others are split one by one.
-        edges = (pc.utf8_slice_codeunits(stretches, 0, 1), pc.utf8_slice_codeunits(stretches, 1, 2), pc.utf8_slice_codeunits(stretches, -1))
-        space = [pc.utf8_is_space(e).to_numpy(zero_copy_only=False) for e in edges]
         size = pc.utf8_length(stretches).to_numpy()
-        plain = (size > 1) & space[0] & ~space[1] & ~space[2]
+        first = pc.equal(pc.utf8_slice_codeunits(stretches, 0, 1), " ").to_numpy(zero_copy_only=False)
+        space = [pc.utf8_is_space(e).to_numpy(zero_copy_only=False) for e in (pc.utf8_slice_codeunits(stretches, 1, 2), pc.utf8_slice_codeunits(stretches, -1))]
+        plain = (size > 1) & first & ~space[0] & ~space[1]
         words = SPLIT.findall("".join(stretches.filter(pa.array(plain)).to_pylist()))
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         counts = np.zeros(len(stretches), np.int64)
