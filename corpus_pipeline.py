@@ -7,13 +7,13 @@ replaced by a mark; what is left is packed into sequences.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.llm.common import shared_folder
 from grainmill.llm.langid import fit, identified
 from grainmill.llm.linededup import without_repeats
 from grainmill.llm.packing import pack_documents
@@ -54,8 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; what a stage returns is written to the shared folder and read by the next."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="grainmill-pipeline-")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,17 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the folder that the cluster shares and cut its lineage.
 
-    The folder is the one in ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary one is made.
+    The folder is the one in ``spark.checkpoint.dir``, or that shared_folder() makes.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="grainmill-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``. Only a session on one machine may leave it unset, and gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="grainmill-")
+
+
 def parallelism(df: DataFrame) -> int:
     """Partitions that a shuffle of this session makes."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -48,8 +58,22 @@ _RESIDENT: dict = {}
 
 def resident(kind: str, build, *key):
     """A model that a Python worker keeps from task to task: one at a time, so that the stages of a pipeline don't add up in its memory."""
+    # What Arrow freed in tasks before goes back to the system.
+    pa.default_memory_pool().release_unused()
     name = (kind, key)
     if name not in _RESIDENT:
         _RESIDENT.clear()
         _RESIDENT[name] = build(*key)
     return _RESIDENT[name]
+
+
+def in_parts(batch: pa.RecordBatch, column: int, most: int = 4_000_000):
+    """Slices of a batch with about ``most`` bytes of text, one row at least, and their texts."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = size[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(size, before + most, side="right")))
+        part = batch.slice(start, stop - start)
+        yield part, part.column(column).to_pylist()
+        start = stop

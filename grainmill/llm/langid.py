@@ -8,13 +8,16 @@ cross entropy, and the language with the least of it wins.
 Following an automaton from its root needs no suffix links, so the greedy parse is a finite
 automaton: where no transition exists, a phrase ends and the next begins with that symbol. Its
 table is one flat array over all languages, and the parse advances all languages and some ten
-thousand stretches of text at once, one gather a step. Stretches are ``STRETCH`` symbols long, so
-every text is parsed whole; a phrase ends at a stretch's end, in every language alike.
+thousand stretches of text at once, one gather a step. Stretches of ``STRETCH`` symbols are parsed
+as if a phrase began with each; then the parse of the stretch before is carried over the seam, side
+by side with that one, until both are in the same state, from where on they are the same. So the
+phrases are those of the whole text in one parse.
 
 Symbols: lower-cased letters and marks; any run of other characters is one separator.
 
-The fit takes a bounded sample, ``sample_texts`` distinct texts a language (those of least hash)
-and ``sample_chars`` characters of each. Copies count once, whatever their share of the rows.
+The fit takes a bounded sample, ``sample_texts`` distinct texts a language (those of least hash);
+of a text longer than ``sample_chars`` characters, pieces of PIECE characters spread evenly over the
+whole of it. Copies count once, whatever their share of the rows.
 """
 
 from __future__ import annotations
@@ -25,16 +28,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import resident
+from .common import in_parts, resident
 
-
-STRETCH = 256
+#: Symbols that are parsed side by side with those of other stretches.
+STRETCH = 1024
 #: Letters with a code of their own; others share SHARED codes by code point.
 OWN, SHARED = 190, 16
+#: Characters of a piece of a long sampled text.
+PIECE = 100
 #: Symbols from which a text that no language compresses can be told from a short one.
 ENOUGH = 40
 
@@ -92,26 +96,29 @@ class Model:
                 self.code[point] = own.get(low) or base + ord(low) % SHARED
                 self.letter[point] = kind == "L"
         self.width = width = base + SHARED
-        tables, starts, sizes, places, at = [], [], [], [], 0
-        for _, texts in samples:
-            symbols = np.concatenate([self.symbols("\n".join(texts)), np.zeros(1, np.uint8)]).tolist()
-            a = Automaton(symbols)
+        sequences = [np.concatenate([self.symbols("\n".join(texts)), np.zeros(1, np.uint8)]) for _, texts in samples]
+        # An automaton has fewer states than twice the symbols; pages that are not written to take no memory.
+        cells = sum(2 * len(q) + 2 for q in sequences) * width
+        if cells >= 2**30:
+            raise ValueError("the samples are too large for one table: take fewer or shorter texts")
+        table, starts, sizes, places, at = np.empty(cells + 1, np.int32), [], [], [], 0
+        for sequence in sequences:
+            a = Automaton(sequence.tolist())
             # The row after the last state's is for a symbol that the sample lacks, a phrase by itself.
             root = np.array([a.next[0].get(c, len(a.next)) for c in range(width)], np.int64)
             # Twice the place of the next row, plus 1 where a phrase ends first.
-            table = np.tile(((root * width + at) * 2 + 1).astype(np.int32), (len(a.next) + 1, 1))
-            table[0] -= 1
+            own = table[at : at + (len(a.next) + 1) * width].reshape(-1, width)
+            own[:] = (root * width + at) * 2 + 1
+            own[0] -= 1
             for state, row in enumerate(a.next):
                 for c, to in row.items():
-                    table[state, c] = (to * width + at) * 2
-            tables.append(table.ravel())
+                    own[state, c] = (to * width + at) * 2
             starts.append(at)
-            sizes.append(math.log2(max(2, len(symbols))))
+            sizes.append(math.log2(max(2, len(sequence))))
             places.append(np.array([0, *a.places[1:], 0], np.int32))
-            at += table.size
-            if at >= 2**30:
-                raise ValueError("the samples are too large for one table: take fewer or shorter texts")
-        self.table = np.concatenate([*tables, np.zeros(1, np.int32)])
+            at += own.size
+        self.table = table[: at + 1]
+        self.table[at] = 0
         self.starts, self.cost, self.places = np.array(starts, np.int32), np.array(sizes), places
 
     def symbols(self, text: str) -> np.ndarray:
@@ -130,20 +137,48 @@ class Model:
         start = np.repeat(np.cumsum(size) - size, parts) + within * STRETCH
         length = np.minimum(STRETCH, np.repeat(size, parts) - within * STRETCH)
         order = np.argsort(-length, kind="stable")
-        start, length, owner = start[order], length[order], owner[order]
-        live = np.searchsorted(-length, -np.arange(STRETCH), side="left")
+        first, falling = start[order], length[order]
+        live = np.searchsorted(-falling, -np.arange(STRETCH), side="left")
         state = np.repeat(self.starts[:, None], len(start), axis=1)
-        ended = np.zeros(state.shape, np.int32)
-        for step in range(int(length[0]) if len(length) else 0):
+        count = np.zeros(state.shape, np.int32)
+        for step in range(int(falling[0]) if len(falling) else 0):
             k = live[step]
-            got = self.table[state[:, :k] + flat[start[:k] + step]]
-            ended[:, :k] += got & 1
+            got = self.table[state[:, :k] + flat[first[:k] + step]]
+            count[:, :k] += got & 1
             state[:, :k] = got >> 1
-        ended += 1
-        out = np.zeros((len(self.names), len(codes)), np.int64)
-        for lang in range(len(self.names)):
-            out[lang] = np.bincount(owner, ended[lang], len(codes))
-        return out
+        last, ended = np.empty_like(state), np.empty_like(count)
+        last[:, order], ended[:, order] = state, count
+        self._over_seams(flat, start, length, within, last, ended)
+        # A text's last phrase ends with it.
+        return np.stack([np.bincount(owner, e, len(codes)) for e in ended]).astype(np.int64) + (size > 0)
+
+    def _over_seams(self, flat, start, length, within, last, ended) -> None:
+        """Brings ``ended`` from stretches that begin a phrase to those that go on with the one before's; ``last`` are the states at their ends."""
+        lang, part = np.divmod(np.arange(last.size), max(1, last.shape[1]))
+        lang, part = lang[within[part] > 0], part[within[part] > 0]
+        enter = last[lang, part - 1]
+        alone, counted = last.copy(), np.zeros(last.shape, np.int32)
+        while len(part):
+            own, fresh, change = enter.copy(), self.starts[lang].copy(), np.zeros(len(part), np.int32)
+            at = np.arange(len(part))
+            for step in range(STRETCH):
+                at = at[(own[at] != fresh[at]) & (step < length[part[at]])]
+                if not len(at):
+                    break
+                symbol = flat[start[part[at]] + step]
+                one, two = self.table[own[at] + symbol], self.table[fresh[at] + symbol]
+                change[at] += (one & 1) - (two & 1)
+                own[at], fresh[at] = one >> 1, two >> 1
+            ended[lang, part] += change - counted[lang, part]
+            counted[lang, part] = change
+            # Where the two did not meet, the stretch ends otherwise, and the next one has to be done again.
+            ending = np.where(own == fresh, alone[lang, part], own)
+            moved = (ending != last[lang, part]) & (part + 1 < last.shape[1])
+            last[lang, part] = ending
+            lang, part = lang[moved], part[moved] + 1
+            goes_on = within[part] > 0
+            lang, part = lang[goes_on], part[goes_on]
+            enter = last[lang, part - 1]
 
     def familiar(self, lang: int, codes: np.ndarray) -> float:
         """Settles a tie: mean log of how often the phrases occur in the language's sample."""
@@ -183,23 +218,33 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _spread(text: Column, chars: int) -> Column:
+    """The text, or pieces of it that are ``chars`` characters together and stand evenly over the whole."""
+    count = max(1, chars // PIECE)
+    begin = [F.floor((F.length(text) - PIECE) * n / max(1, count - 1)).cast("int") + 1 for n in range(count)]
+    return F.when(F.length(text) <= max(chars, PIECE), F.array(text)).otherwise(F.array(*(F.substring(text, b, F.lit(PIECE)) for b in begin)))
+
+
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", sample_texts: int = 64, sample_chars: int = 500) -> tuple:
     """Samples of labelled text by language, from rows that are not held out.
 
     What comes to the driver is bounded: languages * sample_texts * sample_chars characters. Rows
-    without id, label or text are not learned from. The languages are sorted by name.
+    without id, label or text are not learned from. The result has each language's name and pieces
+    of text, and is sorted by name.
     """
     rows = df.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (F.length(F.trim(text_col)) > 0) & ~held_out(id_col))
     rows = rows.select(F.col(id_col).alias("id"), F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
     texts = rows.groupBy("label", F.xxhash64("text").alias("hash")).agg(F.min("id").alias("id"))
-    ranked = texts.withColumn("rank", F.expr("row_number() over (partition by label order by hash, id)"))
-    ids = sorted({r.id for r in ranked.where(F.col("rank") <= sample_texts).select("id").collect()})
+    # First in buckets, so that no task ranks all texts of a label.
+    for key in ("label, pmod(hash, 64)", "label"):
+        texts = texts.withColumn("rank", F.expr(f"row_number() over (partition by {key} order by hash, id)")).where(F.col("rank") <= sample_texts).drop("rank")
+    ids = sorted({r.id for r in texts.select("id").collect()})
     if not ids:
         return ()
-    taken = rows.where(F.col("id").isin(ids)).groupBy("label", "id").agg(F.min(F.substring("text", 1, sample_chars)).alias("text"))
+    taken = rows.where(F.col("id").isin(ids)).groupBy("label", "id").agg(F.min(_spread(F.col("text"), sample_chars)).alias("pieces"))
     found: dict[str, list[str]] = {}
     for r in taken.orderBy("label", "id").collect():
-        found.setdefault(r.label, []).append(r.text)
+        found.setdefault(r.label, []).extend(r.pieces)
     return tuple((label, tuple(texts)) for label, texts in sorted(found.items()))
 
 
@@ -243,15 +288,3 @@ def identified(df: DataFrame, samples: tuple, text_col: str = "text") -> DataFra
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
-
-
-def in_parts(batch: pa.RecordBatch, column: int, most: int = 4_000_000):
-    """Slices of a batch with about ``most`` bytes of text, one row at least, and their texts."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < batch.num_rows:
-        before = size[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(size, before + most, side="right")))
-        part = batch.slice(start, stop - start)
-        yield part, part.column(column).to_pylist()
-        start = stop

@@ -33,13 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, parallelism
+from .common import checkpoint, in_parts, parallelism
 
 #: Lengths in one band. Lines shorter than it all emit variants.
 BAND = 8
 #: Lines that are looked up in SPREAD tasks: those with over one in HOT of the occurrences.
 HOT, SPREAD = 1000, 64
-#: Characters that are hashed at once.
+#: Bytes of text whose lines are taken together, and characters that are hashed at once.
+PART = 8_000_000
 AT_ONCE = 500_000
 BLANK = " \t\r"
 #: Which end of a line is shared: the first or last characters by its own band, or by the band below; and that it is known to be.
@@ -148,9 +149,8 @@ def ends(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _rows_of(batch: pa.RecordBatch):
+def _rows_of(batch: pa.RecordBatch, texts: list[str]):
     """(row, number, line) of every line of a batch of (id, th, text) that is not blank, in order of id, hash and number."""
-    texts = batch.column(2).to_pylist()
     for row in np.lexsort((batch.column(1).to_numpy(), batch.column(0).to_numpy())).tolist():
         for number, raw in enumerate(texts[row].split("\n")):
             if line := raw.strip(BLANK):
@@ -161,10 +161,10 @@ ENDS = "k long, h long, g int, id long, th long, no int, flags int, times long"
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch, texts in (part for b in batches for part in in_parts(b, 2, PART)):
         at: dict[str, int] = {}
         row, number, times = [], [], []
-        for r, n, line in _rows_of(batch):
+        for r, n, line in _rows_of(batch, texts):
             if (place := at.setdefault(line, len(times))) == len(times):
                 row.append(r)
                 number.append(n)
@@ -193,8 +193,9 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        row, number, lines = (list(x) for x in zip(*_rows_of(batch))) if batch.num_rows else ([], [], [])
+    for batch, texts in (part for b in batches for part in in_parts(b, 2, PART)):
+        found = list(_rows_of(batch, texts))
+        row, number, lines = ([f[n] for f in found] for n in range(3))
         g, h = names(lines)
         source = pa.array(np.array(row, np.int64))
         yield pa.RecordBatch.from_arrays([batch.column(0).take(source), batch.column(1).take(source), pa.array(np.array(number, np.int32)), pa.array(g), pa.array(h.view(np.int64))], names=["id", "th", "no", "g", "h"])

@@ -25,8 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, resident, text_or_empty
-from .langid import in_parts
+from .common import checkpoint, in_parts, resident, text_or_empty
 from .tokencount import byte_alphabet
 
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 4096, 3, 2, 5, 6, 2

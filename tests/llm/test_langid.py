@@ -26,14 +26,16 @@ def test_phrases_are_longest_matches():
     rnd = np.random.default_rng(1)
     samples = tuple((k, ("".join(rnd.choice(list("abcd e"), 300)),)) for k in "xy")
     model = Model(samples)
-    texts = ["".join(rnd.choice(list("abcdef "), n)).strip() or "a" for n in (1, 2, 5, 40, STRETCH, 700)]
+    texts = ["".join(rnd.choice(list("abcdef "), n)).strip() or "a" for n in (1, 2, 5, 40, STRETCH, STRETCH + 1, 700, 5000)]
+    # Runs that the sample does not have: the parse from a seam may never meet the one before's.
+    texts += ["a" * 3000, "abc" * 900, "b" * (2 * STRETCH) + "a" * 400]
     codes = [model.symbols(t) for t in texts]
     got = model.phrases(codes)
     for lang, (_, parts) in enumerate(samples):
-        sample = "".join(map(chr, model.symbols(parts[0]).tolist()))
+        sample = "".join(map(chr, [*model.symbols(parts[0]).tolist(), 0]))
         for n, c in enumerate(codes):
             whole = "".join(map(chr, c.tolist()))
-            assert got[lang, n] == sum(greedy(sample, whole[i : i + STRETCH]) for i in range(0, len(whole), STRETCH))
+            assert got[lang, n] == greedy(sample, whole)
 
 
 def test_places():
@@ -64,9 +66,16 @@ def test_rows(spark, odd, empty):
 def test_held_out_accuracy(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     samples = fit(df)
-    assert all(len(texts) <= 64 and all(len(t) <= 500 for t in texts) for _, texts in samples)
+    assert all(len(texts) <= 320 and sum(map(len, texts)) <= 64 * 500 for _, texts in samples)
     got = identify(df, samples).join(df.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r.lang_pred == r.lang for r in got) >= 0.97 * len(got)
     assert sum(r.rejected for r in got) == 0
     # Only rows that are not held out are learned from.
     assert fit(df.where(held_out("doc_id"))) == ()
+
+
+def test_samples_are_spread_over_long_texts(spark):
+    text = "".join(chr(97 + n // 1000) for n in range(20_000))
+    df = spark.createDataFrame([(2, text, "en"), (4, "short one", "en")], "doc_id long, text string, lang string").where(~held_out("doc_id"))
+    ((name, pieces),) = fit(df)
+    assert name == "en" and sorted(p for p in pieces if p[0] != "s" or " " not in p) == sorted(text[a : a + 100] for a in (0, 4975, 9950, 14925, 19900))
