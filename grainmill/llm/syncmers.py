@@ -7,8 +7,9 @@ fingerprint holds the 32-bit hashes of all its distinct anchors, ascending, eigh
 and beside it the places where each of them stands; the share of common hashes among those of two
 texts is the Jaccard likeness of their anchor sets.
 
-Text whose words are longer than LONG characters on average (scripts without spaces) is cut into
-units of UNIT characters first. A text with fewer than K words, or without an anchor, has one
+A run of more than LONG characters without a space (scripts without spaces, encoded data) has each of
+its characters as a unit. That depends on the run alone, so it is the same wherever the run stands,
+and a character more or less in it changes only the anchors that hold it. A text with fewer than K words, or without an anchor, has one
 hash, that of all its words; a text without words has an empty fingerprint.
 """
 
@@ -21,7 +22,7 @@ from .common import U32, digest, parallelism, text_or_empty
 
 #: SKETCH bounds the hashes of a fingerprint; None keeps all.
 K, S, SKETCH = 5, 2, None
-LONG, UNIT = 24, 16
+LONG = 24
 SPACE = r"[ \t-\r]+"
 
 
@@ -29,8 +30,8 @@ def _columns(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``_words and ``out``_inner (hash of the S words from each place on)."""
     words = F.array_remove(F.split(text, SPACE), "")
     df = df.withColumn(f"{out}_words", words)
-    units = F.array_remove(F.split(F.regexp_replace(text, rf"([^ \t-\r]{{{UNIT}}})", "$1 "), SPACE), "")
-    df = df.withColumn(f"{out}_words", F.when(F.length(text) > LONG * (F.size(f"{out}_words") + 1), units).otherwise(F.col(f"{out}_words")))
+    units = F.flatten(F.transform(f"{out}_words", lambda w: F.when(F.length(w) > LONG, F.array_remove(F.split(w, ""), "")).otherwise(F.array(w))))
+    df = df.withColumn(f"{out}_words", F.when(F.exists(f"{out}_words", lambda w: F.length(w) > LONG), units).otherwise(F.col(f"{out}_words")))
     assert S == 2
     pairs = F.zip_with(f"{out}_words", F.slice(f"{out}_words", F.lit(2), F.size(f"{out}_words")), lambda a, b: F.xxhash64(a, b))
     return df.withColumn(f"{out}_inner", F.slice(pairs, F.lit(1), F.greatest(F.size(f"{out}_words") - 1, F.lit(0))))
@@ -109,9 +110,14 @@ def in_lanes(df: DataFrame, id_col: str, lanes: int) -> DataFrame:
     if not firsts:
         return df.withColumn("extra", F.lit(0))
     own = F.struct(F.col("lane"), F.lit(0).alias("extra"))
-    places = F.array(own)
-    for (before, _), (at, first) in zip(firsts, firsts[1:]):
-        places = F.when((F.col("lane") == at) & (F.col(id_col) == F.lit(first)), F.array(own, F.struct(F.lit(before).alias("lane"), F.lit(1).alias("extra")))).otherwise(places)
+    # By lane: its first id, and the lane before; the first lane has none before it.
+    known = dict(firsts)
+    before = dict(zip([at for at, _ in firsts[1:]], [at for at, _ in firsts]))
+    lane_count = firsts[-1][0] + 1
+    first_id = F.get(F.array(*(F.lit(known.get(n)).cast(kind) for n in range(lane_count))), F.col("lane"))
+    lane_before = F.get(F.array(*(F.lit(before.get(n)).cast("int") for n in range(lane_count))), F.col("lane"))
+    twice = F.array(own, F.struct(lane_before.alias("lane"), F.lit(1).alias("extra")))
+    places = F.when(lane_before.isNotNull() & (F.col(id_col) == first_id), twice).otherwise(F.array(own))
     dealt = df.withColumn("__place", F.explode(places)).select(id_col, "text", "__place.lane", "__place.extra")
     head = df.select(id_col, "text").orderBy(F.col(id_col).asc_nulls_first(), "text").limit(1)
     return dealt.unionByName(head.withColumns({"lane": F.lit(firsts[-1][0]), "extra": F.lit(1)}))

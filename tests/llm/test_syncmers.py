@@ -2,13 +2,13 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from grainmill.llm.syncmers import K, S, SKETCH, anchors, fingerprint_documents, in_lanes
+from grainmill.llm.syncmers import K, LONG, S, SKETCH, anchors, fingerprint_documents, in_lanes
 
 
 def words_of(text):
     for c in "\t\n\v\f\r":
         text = text.replace(c, " ")
-    return [w for w in text.split(" ") if w]
+    return [u for w in text.split(" ") for u in (w if len(w) > LONG else [w]) if u]
 
 
 def hashes(spark, lists):
@@ -113,3 +113,21 @@ def test_long_texts_that_share_a_passage(spark):
     at = {h: int(p) for p, h in (a.split(":") for a in rows[0].anchors.split(","))}
     apart = [int(p) - at[h] for p, h in (a.split(":") for a in rows[1].anchors.split(",")) if h in at]
     assert apart.count(4_000) >= 24
+
+
+def test_texts_without_spaces(spark):
+    cjk = "".join(chr(0x4E00 + n * 7919 % 20_000) for n in range(4_000))
+    texts = [cjk, "字" + cjk, cjk[:2_000] + "🙂" + cjk[2_000:], "".join(f"{n:02d} " for n in range(14)) + cjk]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in fingerprint_documents(df).collect()}
+    for n in range(3):
+        assert rows[n].near_next > 0.98
+    sk = sketches(spark, set(texts))
+    assert all(rows[n].fingerprint == "".join(f"{h:08x}" for h in sk[t]) for n, t in enumerate(texts))
+
+
+def test_very_many_lanes(spark):
+    df = spark.range(3000).select((F.col("id") * 7 % 3000).alias("k"), F.col("id").cast("string").alias("text"))
+    rows = in_lanes(df, "k", 2000).collect()
+    lanes = {r.lane for r in rows}
+    assert len(lanes) > 1500 and sum(r.extra for r in rows) == len(lanes) and sum(not r.extra for r in rows) == 3000
