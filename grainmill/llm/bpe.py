@@ -4,6 +4,10 @@ The rank file is read once on the driver and broadcast (its size is that of a vo
 the data), so executors need no local copy. Long texts are cut before encoding, only where a
 non-space is followed by white space: no alternative of the usual splitting patterns spans such a
 place, and none looks behind, so the pieces' ids joined are the text's ids.
+
+The library's pattern engine overflows its stack on very long runs of white space. The usual
+patterns take all of a run but its last character as one match (the whole run at a text's end), so
+runs of over RUN characters are merged as that one piece, without the pattern.
 """
 
 from __future__ import annotations
@@ -17,11 +21,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import resident, text_or_empty
+from .common import in_small_batches, resident, text_or_empty
 
 #: Characters above which a text is encoded in pieces.
 PIECE_CHARS = 20_000
 
+#: White space in a row above which it is not given to the pattern.
+RUN = 1_000
+
+_LONG_RUN = regex.compile(rf"\p{{White_Space}}{{{RUN + 1},}}")
 _SAFE = regex.compile(r"(?<=[^\p{White_Space}])(?=\p{White_Space})")
 
 
@@ -48,11 +56,22 @@ def pieces(text: str, most: int = PIECE_CHARS) -> list[str]:
     return out
 
 
+def _in_pieces(enc, text: str) -> list[int]:
+    if len(text) <= PIECE_CHARS:
+        return enc.encode_ordinary(text)
+    return [i for p in pieces(text) for i in enc.encode_ordinary(p)]
+
+
 def encode(enc, text: str) -> np.ndarray:
     """Ids of a whole text, little-endian unsigned 32-bit."""
-    if len(text) <= PIECE_CHARS:
-        return np.array(enc.encode_ordinary(text), dtype="<u4")
-    return np.concatenate([np.array(enc.encode_ordinary(p), dtype="<u4") for p in pieces(text)])
+    ids: list[int] = []
+    start = 0
+    for run in _LONG_RUN.finditer(text) if len(text) > RUN else ():
+        stop = run.end() - (run.end() < len(text))
+        ids += _in_pieces(enc, text[start : run.start()])
+        ids += enc._encode_single_piece(text[run.start() : stop])
+        start = stop
+    return np.array(ids + _in_pieces(enc, text[start:]), dtype="<u4")
 
 
 def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
@@ -65,7 +84,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
     """
     with open(ranks_path, "rb") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
-    source = df.select(F.col(id_col), text_or_empty(text_col).alias("text"))
+    source = in_small_batches(df).select(F.col(id_col), text_or_empty(text_col).alias("text"))
     kind = source.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -34,3 +34,11 @@ def test_rows(odd, empty, enc):
     assert sorted(str((r.doc_id, r.ids, r.ids_sha256, r.decoded_sha256)) for r in rows) == want
     assert all(r.n_tokens == len(r.ids) for r in rows)
     assert encode_documents(empty, PATH, P.PATTERN).count() == 0
+
+
+def test_long_runs_of_white_space(enc):
+    for run in (" " * 3001, "\n \t" * 1500, "\u3000" * 2000):
+        for text in (run, f"a{run}b", f"a{run}", f"{run}b", f"x {run} y{run}'s z {run}"):
+            assert encode(enc, text).tolist() == enc.encode_ordinary(text)
+    for text in (" " * 3_000_000, "a" + " " * 2_000_000 + "b", "c" * 1_000_000):
+        assert enc.decode(encode(enc, text).tolist()) == text
