@@ -7,6 +7,10 @@ with a merged symbol in it can only have a higher rank than the merge that made
 is the order in which the library merges. Sequences without a known pair leave; what is left of
 them is their count. Words already counted are looked up instead.
 
+A sequence of over LONG symbols is merged by itself, in the same rounds: its pairs stand in buckets
+by rank, a round takes the lowest bucket and merges its pairs at once, and only pairs beside a merge
+are looked up anew, so a word costs what its merges cost, not its length in every round.
+
 The vocabulary file is read on the driver and broadcast; its size does not depend on the data.
 """
 
@@ -14,6 +18,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import resident, text_or_empty
+from .common import in_small_batches, resident, text_or_empty
 
 # A sigma's lower case away from a word's end, and two pairs newer than Python's tables.
 _LOWER = (("\u03a3", "\u03c3"), ("\ua7cb", "\u0264"), ("\ua7dc", "\u019b"))
@@ -29,6 +34,8 @@ _SPACE = regex.compile(r"\p{White_Space}+")
 
 #: Words whose counts a worker remembers before it starts anew; it bounds memory, not results.
 REMEMBERED = 400_000
+#: Symbols of a sequence that is merged by itself.
+LONG = 4_000
 #: Symbols merged at once.
 ROUND_SYMBOLS = 1_000_000
 
@@ -97,9 +104,67 @@ class WordBpe:
             symbols, owner = symbols[keep], owner[keep]
         return counts
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, symbol made) of pairs of symbols; unknown pairs have the rank after the last."""
+        pair = left * self.base + right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.rank[at], len(self.keys)), self.made[at]
+
+    def merged_alone(self, word: bytes) -> int:
+        """Number of symbols that one long word ends with."""
+        flat = np.frombuffer(word, np.uint8)
+        symbols = self.first[flat]
+        symbols[-1] = self.last[flat[-1]]
+        n, none = len(symbols), len(self.keys)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank, made = np.full(n, none), np.zeros(n, np.int64)
+        rank[:-1], made[:-1] = self.ranks(symbols[:-1], symbols[1:])
+        buckets: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+        left = n
+
+        def enter(places: np.ndarray) -> None:
+            places = places[rank[places] < none]
+            places = places[np.argsort(rank[places], kind="stable")]
+            values, start = np.unique(rank[places], return_index=True)
+            for value, part in zip(values.tolist(), np.split(places, start[1:])):
+                if value not in buckets:
+                    buckets[value] = []
+                    heappush(queue, value)
+                buckets[value].append(part)
+
+        enter(np.arange(n - 1))
+        while queue:
+            lowest = heappop(queue)
+            # Places whose pair has changed since they were entered are no longer of this rank.
+            where = np.unique(np.concatenate(buckets.pop(lowest)))
+            where = where[rank[where] == lowest]
+            if not len(where):
+                continue
+            # Of hits side by side every second one overlaps its neighbour.
+            new_run = np.append(True, after[where[:-1]] != where[1:])
+            begin = np.maximum.accumulate(np.where(new_run, np.arange(len(where)), 0))
+            where = where[(np.arange(len(where)) - begin) % 2 == 0]
+            gone = after[where]
+            symbols[where] = made[where]
+            rank[gone] = none
+            after[where] = after[gone]
+            follows = after[where] < n
+            before[after[where[follows]]] = where[follows]
+            left -= len(where)
+            ends = where[after[where] >= n]
+            rank[ends] = none
+            changed = np.unique(np.append(where[after[where] < n], before[where][before[where] >= 0]))
+            rank[changed], made[changed] = self.ranks(symbols[changed], symbols[after[changed]])
+            enter(changed)
+        return left
+
     def learn(self, words: set[str]) -> None:
         todo, size = [], 0
         for word in words:
+            if len(word) > LONG:
+                self.known[word] = self.merged_alone(word.encode())
+                continue
             todo.append(word)
             size += len(word)
             if size > ROUND_SYMBOLS:
@@ -156,7 +221,7 @@ def count_tokens(df: DataFrame, vocabulary_path: str, limit: int = 2048, id_col:
     """
     with open(vocabulary_path, encoding="utf-8") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
-    source = df.select(F.col(id_col), text_or_empty(text_col).alias("text"))
+    source = in_small_batches(df).select(F.col(id_col), text_or_empty(text_col).alias("text"))
     kind = source.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers as P
 import pytest
@@ -45,3 +46,15 @@ def test_rows(spark, odd, empty, library):
         want = sorted(str((r.doc_id, len((r.text or "").encode()), n, n > 100)) for r in df.collect() for n in [len(library.encode(r.text or "", add_special_tokens=False).ids)])
         assert sorted(str(tuple(r)) for r in count_tokens(df, PATH, limit=100).collect()) == want
     assert count_tokens(empty, PATH).count() == 0
+
+
+def test_long_words(bpe, library):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("etaoinshrd") for _ in range(30_000)), "a" * 20_001, "ab" * 9_000, "é" * 5_000 + "la" * 5_000, "日本語" * 3_000]
+    assert bpe.count(words) == [len(e.ids) for e in library.encode_batch(words, add_special_tokens=False)]
+    # Merging by itself and merging together are the same.
+    short = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 200))).encode() for _ in range(300)]
+    assert [bpe.merged_alone(w) for w in short] == bpe.merged(short).tolist()
+    start = time.process_time()
+    bpe.count(["".join(rnd.choice("etaoinshrdlucm") for _ in range(1_000_000))])
+    assert time.process_time() - start < 120
