@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 import numpy as np
@@ -53,13 +54,32 @@ def digest(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
+#: Bytes of an Arrow batch on its way to and from Python; the default of 64 MB is held several times over by every task.
+BATCH, BATCH_KEY = "4194304b", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, for a session whose Arrow batches are bounded by BATCH unless it sets another bound than the default."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_KEY, None) in (None, "67108864b"):
+        conf.set(BATCH_KEY, BATCH)
+    return df
+
+
+def relieve() -> None:
+    """Gives memory that earlier tasks of this worker have freed back to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _RESIDENT: dict = {}
 
 
 def resident(kind: str, build, *key):
     """A model that a Python worker keeps from task to task: one at a time, so that the stages of a pipeline don't add up in its memory."""
-    # What Arrow freed in tasks before goes back to the system.
-    pa.default_memory_pool().release_unused()
+    relieve()
     name = (kind, key)
     if name not in _RESIDENT:
         _RESIDENT.clear()

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_parts, resident
+from .common import in_parts, in_small_batches, resident
 
 #: Symbols that are parsed side by side with those of other stretches.
 STRETCH = 1024
@@ -258,7 +258,7 @@ def identify(df: DataFrame, samples: tuple, id_col: str = "doc_id", text_col: st
     are ignored.
     """
     shared = df.sparkSession.sparkContext.broadcast(samples)
-    source = df.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    source = in_small_batches(df).select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -287,4 +287,4 @@ def identified(df: DataFrame, samples: tuple, text_col: str = "text") -> DataFra
                 keep = [p != "und" and (b < most or len(t) < ENOUGH) for (p, _, b), t in zip(model.predict(texts), texts)]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return in_small_batches(df).mapInArrow(run, df.schema)

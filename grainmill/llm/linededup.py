@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, in_parts, parallelism
+from .common import checkpoint, in_parts, in_small_batches, parallelism, relieve
 
 #: Lengths in one band. Lines shorter than it all emit variants.
 BAND = 8
@@ -190,6 +190,7 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(np.array(number, np.int32)[which]), pa.array(flag.astype(np.int32)), pa.array(counted)],
             names=["k", "h", "g", "id", "th", "no", "flags", "times"],
         )
+    relieve()
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,6 +200,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, h = names(lines)
         source = pa.array(np.array(row, np.int64))
         yield pa.RecordBatch.from_arrays([batch.column(0).take(source), batch.column(1).take(source), pa.array(np.array(number, np.int32)), pa.array(g), pa.array(h.view(np.int64))], names=["id", "th", "no", "g", "h"])
+    relieve()
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +286,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, th, text): rows with an id and a text; th tells rows of one id apart."""
     text = F.col(text_col).cast("string")
-    return df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return in_small_batches(df).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
 def _meeting(rows: DataFrame) -> DataFrame:

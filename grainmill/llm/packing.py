@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, in_parts, resident, text_or_empty
+from .common import checkpoint, in_parts, in_small_batches, resident, text_or_empty
 from .tokencount import byte_alphabet
 
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 4096, 3, 2, 5, 6, 2
@@ -171,7 +171,7 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_co
     """(id, piece, start, length, ids_crc32) of every document's ids with ``end_id`` at the end."""
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
-    source = df.select(F.col(id_col), text_or_empty(text_col).alias("text"))
+    source = in_small_batches(df).select(F.col(id_col), text_or_empty(text_col).alias("text"))
     kind = source.schema[id_col].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 

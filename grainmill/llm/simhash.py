@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, parallelism, text_or_empty
+from .common import checkpoint, in_small_batches, parallelism, text_or_empty
 from .components import connected_components
 
 WORDS, SEED, BITS, BYTES = 4, 42, 4, 8
@@ -61,7 +61,7 @@ def fingerprint(text: str) -> int:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp): fp as a signed long with the fingerprint's bits."""
-    source = df.select(F.col(id_col), text_or_empty(text_col).alias("text"))
+    source = in_small_batches(df).select(F.col(id_col), text_or_empty(text_col).alias("text"))
     kind = source.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -173,5 +173,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     kept = near_duplicates(df, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
     rows = df.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    ranked = rows.withColumn("__copy", F.expr(f"row_number() over (partition by `{id_col}`, xxhash64(`{text_col}`) order by 1)"))
+    # Rows that repeat an id and a text may differ in other columns.
+    order = f"xxhash64({', '.join(f'`{c}`' for c in df.columns)})"
+    ranked = rows.withColumn("__copy", F.expr(f"row_number() over (partition by `{id_col}`, xxhash64(`{text_col}`) order by {order})"))
     return ranked.where(F.col("__copy") == 1).drop("__copy")
