@@ -113,13 +113,17 @@ def books_after_tail(text: Column) -> Column:
     return normalized(replaced(text, BOOKS_AFTER_TAIL))
 
 
+#: A letter, digit or underscore of any script.
+LETTER = r"[\p{L}\p{N}_]"
+
+
 def should_drop(text: Column) -> Column:
     """Empty, hardly any word characters, or hardly anything but links."""
     text = stripped(text)
     chars = F.length(text)
-    words = count_of(text, "[A-Za-z0-9_]")
+    words = count_of(text, LETTER)
     rest = replaced(text, URLS)
-    left = count_of(rest, "[A-Za-z0-9_]+")
+    left = count_of(rest, f"{LETTER}+")
     share = safe_ratio(chars - F.length(rest), chars)
     links = (chars > F.length(rest)) & ((left == 0) | ((left <= 2) & (share >= SOME_LINKS)) | (share >= MOST_LINKS))
     return (text == "") | (words == 0) | (safe_ratio(words, chars) < LEAST_WORD_SHARE) | links

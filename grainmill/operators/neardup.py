@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 PERMUTATIONS, BANDS, ROWS = 128, 16, 8
 PRIME = (1 << 31) - 1
 SPACES = re.compile(r"[ \t\n\x0B\f\r]+")
-WORDS, MOST_WORDS, LEAST_CHARS = 3, 10_000, 50
+WORDS, LEAST_CHARS = 3, 50
 
 
 def coefficients(n: int = PERMUTATIONS) -> list[tuple[int, int]]:
@@ -33,7 +33,10 @@ def saved(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="grainmill-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="grainmill-"))
     return df.checkpoint(eager=True)
 
 
@@ -48,9 +51,9 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text")
     return hashed.join(first, "sha").select(id_col, "sha", "canonical", "copies", (F.col(id_col) == F.col("canonical")).alias("kept"))
 
 
-def shingle_hashes(text: str) -> np.ndarray:
-    """Distinct 31-bit hashes of the word shingles within the first MOST_WORDS words, from eight hex digits of their MD5."""
-    words = [w for w in SPACES.split(text) if w][:MOST_WORDS]
+def shingle_hashes(text: str, most_words: int | None = None) -> np.ndarray:
+    """Distinct 31-bit hashes of the word shingles of a text, or of its first ``most_words`` words, from eight hex digits of their MD5."""
+    words = [w for w in SPACES.split(text) if w][:most_words]
     grams = {" ".join(g) for g in zip(*(words[n:] for n in range(WORDS)))}
     return np.array([int.from_bytes(hashlib.md5(g.encode()).digest()[:4], "big") % PRIME for g in grams], np.int64)
 
@@ -67,24 +70,24 @@ def signature(hashes: np.ndarray, factors: np.ndarray) -> list[int]:
     return (high * PRIME + low).tolist()
 
 
-def band_hashes(text: Column) -> Column:
+def band_hashes(text: Column, most_words: int | None = None) -> Column:
     """The band numbers of a text; null for one with fewer than WORDS words."""
     factors = np.array(coefficients(), np.int64)
 
     @F.pandas_udf("array<bigint>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([signature(h, factors) if len(h := shingle_hashes(t)) else None for t in part], dtype=object)
+            yield pd.Series([signature(h, factors) if len(h := shingle_hashes(t, most_words)) else None for t in part], dtype=object)
 
     return run(text)
 
 
-def bands(df: DataFrame, id_col: str = "doc_id", text: str = "text", done: DataFrame | None = None) -> DataFrame:
-    """(id, band_index, band_hash) of every eligible document, those in ``done`` left out."""
+def bands(df: DataFrame, id_col: str = "doc_id", text: str = "text", done: DataFrame | None = None, most_words: int | None = None) -> DataFrame:
+    """(id, band_index, band_hash) of every eligible document, those in ``done`` left out; of whole texts unless ``most_words`` is given."""
     df = eligible(df, text)
     if done is not None:
         df = df.join(done.select(id_col).distinct(), id_col, "left_anti")
-    return df.select(id_col, F.posexplode(band_hashes(F.col(text))).alias("band_index", "band_hash"))
+    return df.select(id_col, F.posexplode(band_hashes(F.col(text), most_words)).alias("band_index", "band_hash"))
 
 
 def star_links(banded: DataFrame, id_col: str = "doc_id") -> DataFrame:

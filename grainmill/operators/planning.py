@@ -85,7 +85,10 @@ def id_ranges(start: int, stop: int, workers: int) -> list[tuple[int, int]]:
 
 
 def range_counts(df: DataFrame, id_col: str, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Rows of each range; ids outside all of them count nowhere."""
     rows = df.sparkSession.createDataFrame([(n, *r) for n, r in enumerate(ranges)], "worker int, first long, stop long")
+    if ranges:
+        df = df.where((F.col(id_col) >= ranges[0][0]) & (F.col(id_col) < ranges[-1][1]))
     number = F.size(F.filter(F.array(*(F.lit(r[0]) for r in ranges)), lambda c: c <= F.col(id_col))) - 1
     return df.groupBy(number.alias("worker")).agg(F.count(F.lit(1)).alias("rows")).join(rows, "worker", "right").select("worker", "first", "stop", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
 

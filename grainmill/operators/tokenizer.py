@@ -9,6 +9,7 @@ import json
 from collections import Counter, defaultdict
 from functools import lru_cache
 
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,6 +131,21 @@ def _ranks(data: bytes, pattern: str):
     return tiktoken.Encoding("dataset", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+#: White space in a row above which the library's pattern engine is spared: its stack does not hold runs of millions.
+RUN = 1_000
+_RUNS = regex.compile(rf"\p{{White_Space}}{{{RUN + 1},}}")
+
+
+def encoded(enc, text: str) -> list[int]:
+    """Ids of a text. The usual patterns take all of a run of white space but its last character (the whole run at the end) as one piece, so a long one is merged as that."""
+    ids, start = [], 0
+    for run in _RUNS.finditer(text) if len(text) > RUN else ():
+        stop = run.end() - (run.end() < len(text))
+        ids += enc.encode_ordinary(text[start : run.start()]) + enc._encode_single_piece(text[run.start() : stop])
+        start = stop
+    return ids + enc.encode_ordinary(text[start:])
+
+
 def tokenize_dataset(df: DataFrame, ranks_path: str, pattern: str, name: str, sha256: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Adds token_ids, token_count, text_sha256, text_bytes, round_trip and tokenizer to each row; the rank file's digest is checked if one is given."""
     import pyarrow as pa
@@ -143,7 +159,7 @@ def tokenize_dataset(df: DataFrame, ranks_path: str, pattern: str, name: str, sh
     def run(batches):
         enc = _ranks(shared.value, pattern)
         for batch in batches:
-            ids = [enc.encode_ordinary(t) for t in batch.column(1).to_pylist()]
+            ids = [encoded(enc, t) for t in batch.column(1).to_pylist()]
             same = [enc.decode(i) == t for i, t in zip(ids, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([len(i) for i in ids], pa.int32()), batch.column(2), batch.column(3), pa.array(same, pa.bool_())], names=[id_col, "token_ids", "token_count", "text_sha256", "text_bytes", "round_trip"])
 

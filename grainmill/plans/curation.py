@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from grainmill.functions.text import sample_uid
@@ -48,13 +51,10 @@ def duplicates(s, d):
 
 
 def built(s, d):
-    """The index over cheap metrics: line and word thresholds of the 'retained' profile."""
-    names = [n for n in Q.RETAINED if "gram" not in n]
+    """The index over all thresholds of the 'retained' profile."""
     docs = read(s, d, "documents")
-    metrics = Q.word_metrics(Q.line_metrics(docs.select("doc_id", "text"))).drop("text")
-    keep = F.lit(True)
-    for n in names:
-        keep = keep & Q.passes(Q.RETAINED)[n]
+    metrics = Q.quality(docs.select("doc_id", "text")).drop("text")
+    keep = reduce(and_, Q.passes(Q.RETAINED).values())
     languages = docs.select("doc_id", F.col("lang").alias("lid_label"))
     rows = I.retained_index(metrics, docs.select("doc_id", F.col("source").alias("source_domain")), languages, duplicates(s, d), keep, ["en", "fr", "es"], "retained")
     return rows.select("profile_name", "doc_id", "source_domain", "lid_label", "word_count")
@@ -67,7 +67,14 @@ def refreshed(s, d):
 
 def refresh_upsert(s, d):
     docs = read(s, d, "documents").select("doc_id", F.col("lang").alias("label"))
-    return I.upsert(docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 2 = 0").withColumn("label", F.upper("label")), ["doc_id"])
+    graded = read(s, d, "labels").groupBy("doc_id").agg(F.max("quality").cast("string").alias("label"))
+    return I.upsert(docs, graded, ["doc_id"])
+
+
+def ranges(s, d):
+    docs = read(s, d, "documents")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    return P.range_counts(docs, "doc_id", P.id_ranges(low or 0, (high or -1) + 1, 7))
 
 
 SCHEMA = {"sample_uid": "string", "native_source": "string", "doc_id": "string", "cleaned_char_count": "bigint", "subreddit": "string", "score": "bigint"}
@@ -92,8 +99,8 @@ QUERIES = {
     "weighted_interleave": lambda s, d: P.weighted_interleave(read(s, d, "documents").select("doc_id", "source"), "source", "doc_id", weight()).select("doc_id", "source", "place"),
     "part_packing": lambda s, d: P.fixed_parts(read(s, d, "documents").select("doc_id"), "doc_id", 64).groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")),
     "running_bytes": lambda s, d: P.running_total(sizes(s, d), "doc_id", "bytes", "running", by="source").select("doc_id", "source", F.col("running").cast("long").alias("running")),
-    "id_ranges": lambda s, d: P.range_counts(read(s, d, "documents"), "doc_id", P.id_ranges(0, 1003, 7)),
-    "availability_sets": lambda s, d: P.availability(read(s, d, "documents").where("doc_id < 900"), read(s, d, "documents").where("doc_id % 3 = 0"), read(s, d, "documents").where("doc_id % 5 = 0"), "doc_id"),
+    "id_ranges": ranges,
+    "availability_sets": lambda s, d: P.availability(read(s, d, "documents"), read(s, d, "labels").where("quality = 1"), read(s, d, "labels").where("toxic = 1"), "doc_id"),
     "retained_index": built,
     "index_retraction": lambda s, d: I.retract(read(s, d, "documents").select("doc_id", "source"), duplicates(s, d)),
     "index_refresh_window": refreshed,
@@ -114,17 +121,6 @@ ROBIN_SUM = f"(select *, sum(bytes) over (order by turn, source rows unbounded p
 DUPLICATES = "(select doc_id from (select doc_id, min(doc_id) over (partition by text) as first from documents) where doc_id > first)"
 
 
-def _retained() -> str:
-    from grainmill.plans.text import LINES, words_sql
-
-    checks = []
-    for n, (low, high) in Q.RETAINED.items():
-        if "gram" not in n:
-            checks += [f"{n} >= {low}"] * (low is not None) + [f"{n} <= {high}"] * (high is not None)
-    return f"""select 'retained' as profile_name, doc_id, source as source_domain, lang as lid_label, cast(word_count as bigint) as word_count from ({LINES}) l join ({words_sql(Q.STOPWORDS['en'])}) w using (doc_id) join documents using (doc_id)
-        where lang in ('en', 'fr', 'es') and {' and '.join(checks)} and doc_id not in {DUPLICATES}"""
-
-
 def _stopword_votes() -> str:
     votes = ", ".join(f"len(list_filter(w, lambda x: x in ({', '.join(repr(x) for x in Q.STOPWORDS[c])}))) as {c}" for c in L.LANGUAGES)
     best = "greatest(" + ", ".join(L.LANGUAGES) + ")"
@@ -142,11 +138,13 @@ ORACLES = {
     "weighted_interleave": "with n as (select doc_id, source, row_number() over (partition by source order by doc_id) as n from documents) select doc_id, source, cast(row_number() over (order by (n - 1) // (case when source = 'src1' then 3 else 1 end), source, n) as int) as place from n",
     "part_packing": "select cast((n - 1) // 64 as bigint) as part, count(*) as rows, min(doc_id) as first, max(doc_id) as last from (select doc_id, row_number() over (order by doc_id) as n from documents) group by 1",
     "running_bytes": "select doc_id, source, cast(sum(strlen(text)) over (partition by source order by doc_id rows unbounded preceding) as bigint) as running from documents",
-    "id_ranges": "with r(worker, first, stop) as (values " + ", ".join(f"({n}, {a}, {b})" for n, (a, b) in enumerate(P.id_ranges(0, 1003, 7))) + ") select cast(worker as int) as worker, cast(first as bigint) as first, cast(stop as bigint) as stop, (select count(*) from documents where doc_id >= first and doc_id < stop) as rows from r",
-    "availability_sets": "select doc_id, case when doc_id >= 900 then 'orphan' when doc_id % 3 = 0 then 'done' when doc_id % 5 = 0 then 'error_only' else 'missing' end as status from documents where doc_id < 900 or doc_id % 3 = 0 or doc_id % 5 = 0",
+    "id_ranges": """with e as (select min(doc_id) as low, max(doc_id) - min(doc_id) + 1 as n from documents),
+        r as (select k, low + k * (n // 7) + least(k, n % 7) as first, low + (k + 1) * (n // 7) + least(k + 1, n % 7) as stop from e, range(7) t(k))
+        select cast(k as int) as worker, first, stop, (select count(*) from documents where doc_id >= first and doc_id < stop) as rows from r""",
+    "availability_sets": "select doc_id, case when d.doc_id is null then 'orphan' when good then 'done' when bad then 'error_only' else 'missing' end as status from (select distinct doc_id from documents) d full join (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as bad from labels group by 1) l using (doc_id) where d.doc_id is not null or good or bad",
     "index_retraction": f"select doc_id, source from documents where doc_id not in {DUPLICATES}",
     "index_refresh_window": f"select event_type, count(*) as rows from events where ts >= timestamp '{LAST}' - interval 24 hour and ts <= timestamp '{NOW}' group by 1",
-    "index_upsert": "select doc_id, case when doc_id % 2 = 0 then upper(lang) else lang end as label from documents where doc_id % 3 <> 0 or doc_id % 2 = 0",
+    "index_upsert": "select doc_id, lang as label from documents where doc_id not in (select doc_id from labels) union all select doc_id, cast(max(quality) as varchar) from labels group by 1",
     "unified_projection": "select 'doc://' || doc_id as sample_uid, source as native_source, cast(doc_id as varchar) as doc_id, n_chars as cleaned_char_count, cast(null as varchar) as subreddit, cast(null as bigint) as score from documents",
     "validated_merge": "select 'doc://' || doc_id as uid, doc_id, upper(lang) as label from documents",
     "merge_audit": "select 'doc://' || doc_id as uid, case when doc_id % 10 = 3 then 'missing_right' else 'mismatch_sha' end as problem from documents where doc_id % 10 = 3 or doc_id % 7 = 0",
@@ -154,6 +152,5 @@ ORACLES = {
     "thread_first_wins": "select conv_id, turn, cast(length(text) as int) as chars from (select *, row_number() over (partition by conv_id order by turn) as n from conversations where role = 'user') where n = 1",
     "lid_stopword": _stopword_votes(),
     "lid_primary_by_coverage": f"select doc_id, case when char_count // 2 >= greatest(char_count - char_count // 2 - 5, 0) then lang end as label, greatest(char_count // 2, char_count - char_count // 2 - 5) as covered from {CORPUS} c",
-    "retained_index": _retained(),
 }
 

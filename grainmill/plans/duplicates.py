@@ -33,7 +33,7 @@ QUERIES = {
     "near_dup_chain_check": lambda s, d: N.chains(found(s, d)),
     "near_dup_cluster_sizes": lambda s, d: found(s, d).groupBy("canonical").agg((F.count(F.lit(1)) + 1).alias("members"), F.max("shared_bands").alias("most_shared")),
     "keep_canonical": lambda s, d: N.keep_canonical(read(s, d, "documents"), found(s, d)).select("doc_id", "source"),
-    "bands_incremental": lambda s, d: N.bands(read(s, d, "documents"), done=read(s, d, "documents").where("doc_id % 2 = 0").select("doc_id")).groupBy("band_index").agg(F.countDistinct("doc_id").alias("documents")),
+    "bands_incremental": lambda s, d: N.bands(read(s, d, "documents"), done=read(s, d, "labels")).groupBy("band_index").agg(F.countDistinct("doc_id").alias("documents")),
 }
 
 P = N.PRIME
@@ -44,7 +44,7 @@ def _fold(row: str, factor: int) -> str:
 
 
 PAIRS = ", ".join(f"({n}, {a}, {b})" for n, (a, b) in enumerate(N.coefficients()))
-BANDS = rf"""with w as (select doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')[1:{N.MOST_WORDS}] as w from documents where text is not null and length(text) > {N.LEAST_CHARS}),
+BANDS = rf"""with w as (select doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w from documents where text is not null and length(text) > {N.LEAST_CHARS}),
     g as (select doc_id, unnest(list_distinct(list_transform(range(1, len(w) - {N.WORDS} + 2), lambda i: array_to_string(w[i:i + {N.WORDS - 1}], ' ')))) as g from w where len(w) >= {N.WORDS}),
     h as (select doc_id, cast('0x' || substr(md5(g), 1, 8) as bigint) % {P} as h from g), f(n, a, b) as (values {PAIRS}),
     m as (select doc_id, n, min((a::bigint * h + b) % {P}) as m from h, f group by doc_id, n),
@@ -67,5 +67,5 @@ ORACLES = {
     "near_dup_chain_check": f"{FOUND} select distinct canonical from found where canonical in (select doc_id from found)",
     "near_dup_cluster_sizes": f"{FOUND} select canonical, count(*) + 1 as members, max(shared_bands) as most_shared from found group by 1",
     "keep_canonical": f"{FOUND} select doc_id, source from documents where doc_id not in (select doc_id from found)",
-    "bands_incremental": f"{BANDS} select band_index, count(distinct doc_id) as documents from bands where doc_id % 2 <> 0 group by 1",
+    "bands_incremental": f"{BANDS} select band_index, count(distinct doc_id) as documents from bands where doc_id not in (select doc_id from labels) group by 1",
 }

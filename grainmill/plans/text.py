@@ -53,7 +53,7 @@ QUERIES = {
     "clean_books": lambda s, d: cleaned(s, d, "documents", "doc_id", "text", "books"),
     "clean_rule_counts": rule_totals,
     "clean_metrics": lambda s, d: C.metrics(read(s, d, "pages").select(F.col("html").alias("text")), "hplt-indonesia"),
-    "drop_predicate": lambda s, d: documents(s, d).select("doc_id", C.should_drop(F.substring("text", 1, 60)).alias("dropped")),
+    "drop_predicate": lambda s, d: documents(s, d).select("doc_id", C.should_drop(text_of("text")).alias("dropped")),
     "clean_lines": lambda s, d: read(s, d, "pages").select("page_id", S.clean_lines(F.col("html"), "lowyat").alias("c")).select("page_id", F.sha2("c.text", 256).alias("cleaned_sha256"), F.to_json("c.rule_counts").alias("rule_counts"), "c.drop_reason"),
     "ocr_cleanup": lambda s, d: documents(s, d).select("doc_id", S.clean_ocr(F.col("text")).alias("c")).select("doc_id", F.sha2("c.text", 256).alias("cleaned_sha256"), F.to_json("c.removed_counts").alias("removed_counts")),
     "reference_tail": lambda s, d: documents(s, d).select("doc_id", S.remove_references(F.col("text"), ocr=True).alias("c")).select("doc_id", "c.removed", "c.method", "c.removed_chars"),
@@ -90,7 +90,7 @@ STRIP = r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$"
 def drop(expr: str) -> str:
     t = f"regexp_replace({expr}, {lit(STRIP)}, '', 'g')"
     rest = chain(t, C.URLS)
-    words, left, n, m = hits(t, "[A-Za-z0-9_]"), hits(rest, "[A-Za-z0-9_]+"), f"length({t})", f"length({rest})"
+    words, left, n, m = hits(t, C.LETTER), hits(rest, f"{C.LETTER}+"), f"length({t})", f"length({rest})"
     share = f"(coalesce(({n} - {m}) / nullif({n}, 0), 0))"
     return f"({t} = '' or {words} = 0 or coalesce({words} / nullif({n}, 0), 0) < {C.LEAST_WORD_SHARE} or ({n} > {m} and ({left} = 0 or ({left} <= 2 and {share} >= {C.SOME_LINKS}) or {share} >= {C.MOST_LINKS})))"
 
@@ -143,7 +143,7 @@ ORACLES = {
     "clean_reddit": clean_sql("documents", "doc_id", "text", "reddit-bolehland"),
     "clean_rule_counts": f"select {', '.join(f'cast(sum({hits("lower(text)" if p is C.PHRASE else "text", p)}) as bigint) as {r.replace(".", "__")}' for r, p in ALL_RULES)} from {PAGES}",
     "clean_metrics": METRICS,
-    "drop_predicate": f"select doc_id, {drop('substr(text, 1, 60)')} as dropped from documents",
+    "drop_predicate": f"select doc_id, {drop("coalesce(text, '')")} as dropped from documents",
     "quality_lines": LINES,
     "quality_words": f"select * exclude (at_least_2_stopwords) from ({words_sql(Q.STOPWORDS['en'])})",
     "quality_stopwords": f"select doc_id, cast(stopword_count as bigint) as stopword_count, at_least_2_stopwords from ({words_sql(Q.STOPWORDS['de'])})",

@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from grainmill.operators import cleaning as C
 from grainmill.operators import sequential as S
 
@@ -72,3 +74,18 @@ def test_chunks_keep_all_words():
 def test_think_and_places():
     assert S.split_think("<think>a b</think> answer ") == ("answer", "a b") and S.split_think(" x ") == ("x", "")
     assert S.word_places("a bb a", ["a", "bb", "a", "z"]) == [0, 2, 5, -1]
+
+
+def test_texts_in_other_scripts_are_kept(spark):
+    texts = ["这是一个完整的中文句子，应当保留。", "Это обычное предложение на русском языке.", "هذه جملة عربية عادية", "見る http://example.org/abc これは日本語の説明文です", "。。。！！！", "http://example.org/中文"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    assert [r.d for r in df.select("n", C.should_drop(F.col("text")).alias("d")).orderBy("n").collect()] == [False, False, False, False, True, True]
+    assert [S.drop_reason(t) for t in texts[:3]] == [None] * 3
+
+
+def test_reference_tails_far_apart():
+    # The last heading has no references after it, the one before has.
+    text = "Body.\n# References\n" + "".join(f"[{n}] Smith, J. 2001. A title of a paper https://doi.org/10.1000/{n}\n" for n in range(9))
+    assert S.tail_start(text) == 5 and S.trim_tail(text) == "Body."
+    assert S.tail_start("Body.\n# References\nnone at all\n" * 3) is None
+    assert S.tail_start("") is None and S.tail_start("# References") is None

@@ -109,3 +109,21 @@ def test_plugged_in_detector(spark):
     df = spark.createDataFrame([(1, "x" * 60), (2, "short"), (3, None), (4, "y" * 60)], "doc_id long, text string")
     got = L.detect(df, lambda texts: [("" if t[0] == "y" else "en", 1) for t in texts]).collect()
     assert [(r.doc_id, r.lid_label) for r in got] == [(1, "en")]
+
+
+def test_rows_outside_the_ranges_count_nowhere(spark):
+    got = P.range_counts(spark.range(50), "id", P.id_ranges(10, 30, 3)).orderBy("worker").collect()
+    assert [tuple(r) for r in got] == [(0, 10, 17, 7), (1, 17, 24, 7), (2, 24, 30, 6)]
+
+
+def test_retained_index_is_the_composition_of_its_parts(spark):
+    from grainmill.plans.catalog import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    good = {r.doc_id for r in QUERIES["quality_filter_retained"](spark, folder).collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    first = {}
+    for r in sorted(docs, key=lambda r: r.doc_id):
+        first.setdefault(r.text, r.doc_id)
+    want = {r.doc_id for r in docs if r.doc_id in good and r.lang in ("en", "fr", "es") and first[r.text] == r.doc_id}
+    assert {r.doc_id for r in QUERIES["retained_index"](spark, folder).collect()} == want
