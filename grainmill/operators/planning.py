@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_total(df: DataFrame, order: str, value: str | None, out: str, ranges: int = 16, by: str | None = None) -> DataFrame:
+def running_total(df: DataFrame, order: str, value: str | None, out: str, ranges: int | None = None, by: str | None = None) -> DataFrame:
     """Adds the sum of ``value`` (or the number of rows) up to and with each row, in order of the unique column ``order``, within each value of ``by``."""
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = df.agg(F.percentile_approx(order, F.array(*(F.lit(n / ranges) for n in range(1, ranges))), 10_000)).first()[0] if ranges > 1 else None
     cuts = F.array(*(F.lit(c) for c in sorted(set(cuts)))) if cuts else F.array().cast(f"array<{df.schema[order].dataType.simpleString()}>")
     df = df.withColumn("__range", F.size(F.filter(cuts, lambda c: c <= F.col(order))))
