@@ -8,12 +8,15 @@ base64 and its URL form) and computes
 - chi-squared uniformity over the alphabet, against both hypotheses: that the characters are drawn
   at random, and that they are ordinary text, whose repeats make the statistic grow with length;
 - the runs test of symbols above and below the alphabet's middle;
-- the lag-one serial correlation of symbol numbers.
-A stretch is eligible if none of the three rejects randomness at ``ALPHA``. Its p-value is the
-chance of so even a distribution in ordinary text of its length, so a short stretch can hardly get
-a small one. Benjamini and Hochberg's procedure at ``FALSE_DISCOVERY`` is applied within octaves of
-length over the stretches of all documents, from a histogram of p-values with a bounded number of
-cells.
+- the lag-one serial correlation of symbol numbers;
+- runs of character classes: ordinary names, paths and dates go from one word or number to the next
+  about once in ``1 / BREAKS`` characters, random strings far more often.
+A stretch that mixes at least two of lower case, upper case and digits is tested; it is eligible if
+none of the first three rejects randomness at ``ALPHA``. Its p-value joins, by Fisher's rule, the
+chances in ordinary text of its length of so even a distribution and of so many runs. Benjamini and
+Hochberg's procedure at ``FALSE_DISCOVERY`` is applied within octaves of length over the tested
+stretches of all documents, from a histogram of p-values in tenths of a power of ten, each rounded
+up, so that rounding can only lose discoveries.
 """
 
 from __future__ import annotations
@@ -36,6 +39,10 @@ STRETCH = r"[A-Za-z0-9+/_-]{20,}"
 ALPHA, FALSE_DISCOVERY = 0.001, 0.01
 #: Cells of the histogram of p-values: tenths of a power of ten.
 CELLS = 400
+#: How often ordinary strings go from one word or number to the next, by character.
+BREAKS = 0.15
+#: From a lower-case to an upper-case letter, or between a letter and a digit.
+BREAK = "(?<=[a-z])(?=[A-Z])|(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])"
 
 # Alphabets, and how likely two characters of ordinary strings over them are equal.
 ALPHABETS = {
@@ -76,12 +83,27 @@ def upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
+def _log_factorial(n: Column) -> Column:
+    """ln n! by Stirling's series, within 0.003."""
+    m = F.greatest(n, F.lit(1.0))
+    return F.when(n < 1, 0.0).otherwise(m * F.log(m) - m + F.log(2 * math.pi * m) / 2 + 1 / (12 * m))
+
+
+def many_breaks(n: Column, breaks: Column, rate: float = BREAKS) -> Column:
+    """A bound from above, near for large counts, of the chance of at least so many breaks at n - 1 places."""
+    m = n - 1
+    log = _log_factorial(m) - _log_factorial(breaks) - _log_factorial(m - breaks) + breaks * math.log(rate) + (m - breaks) * math.log(1 - rate)
+    # Each further term of the binomial is at most this share of the one before.
+    share = (m - breaks) / (breaks + 1) * (rate / (1 - rate))
+    return F.when((breaks > m * rate) & (share < 1), F.least(F.lit(1.0), F.exp(log) / (1 - share))).otherwise(1.0)
+
+
 def _with(x: Column, fields: list[str], **more: Column) -> Column:
     return F.struct(*(x[f].alias(f) for f in fields), *(v.alias(k) for k, v in more.items()))
 
 
 def battery(text: Column, spans: Column) -> list[tuple[str, Column]]:
-    """Columns to add one after another, the last being array<struct(start, end, octave, cell)>: -10 log10 p of each stretch, 0 if not eligible."""
+    """Columns to add one after another, the last being array<struct(start, end, octave, cell)>: -10 log10 p of each stretch, 0 if not eligible, null if not tested."""
     name = "__stretches"
     col = F.col(name)
 
@@ -107,7 +129,8 @@ def battery(text: Column, spans: Column) -> list[tuple[str, Column]]:
         size = F.length(token)
         value = F.transform(letters, lambda c: (F.instr(alphabet, c) - 1).cast("double"))
         squares = F.aggregate(F.array_distinct(letters), F.lit(0.0), lambda a, c: a + F.pow((size - F.length(F.replace(token, c))).cast("double"), 2.0))
-        return _with(x, ["start", "end", "coded"], n=size.cast("double"), k=pick(x, {c: float(len(a)) for c, (a, _) in ALPHABETS.items()}), same=pick(x, {c: s for c, (_, s) in ALPHABETS.items()}), value=value, squares=squares)
+        breaks = F.regexp_count(x["token"], F.lit(BREAK)).cast("double")
+        return _with(x, ["start", "end", "coded"], breaks=breaks, n=size.cast("double"), k=pick(x, {c: float(len(a)) for c, (a, _) in ALPHABETS.items()}), same=pick(x, {c: s for c, (_, s) in ALPHABETS.items()}), value=value, squares=squares)
 
     def summed(x):
         n, k, value = x["n"], x["k"], x["value"]
@@ -115,7 +138,7 @@ def battery(text: Column, spans: Column) -> list[tuple[str, Column]]:
         high = F.aggregate(value, F.lit(0.0), lambda a, v: a + F.when(v >= k / 2, 1.0).otherwise(0.0))
         start = F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("runs"))
         runs = F.aggregate(value, start, lambda a, v: F.struct((s := F.when(v >= k / 2, 1.0).otherwise(0.0)).alias("last"), (a["runs"] + (s != a["last"]).cast("double")).alias("runs")), lambda a: a["runs"])
-        return _with(x, ["start", "end", "coded", "n", "k", "same", "value"], chi=k / n * x["squares"] - n, mean=mean, high=high, runs=runs)
+        return _with(x, ["start", "end", "coded", "breaks", "n", "k", "same", "value"], chi=k / n * x["squares"] - n, mean=mean, high=high, runs=runs)
 
     def tested(x):
         n, k, mean = x["n"], x["k"], x["mean"]
@@ -131,15 +154,16 @@ def battery(text: Column, spans: Column) -> list[tuple[str, Column]]:
         runs = F.when(runs_var > 0, (x["runs"] - runs_mean) / F.sqrt(runs_var)).otherwise(99.0)
         start = F.struct(mean.alias("last"), F.lit(0.0).alias("cross"), F.lit(0.0).alias("square"))
         sums = F.aggregate(x["value"], start, lambda a, s: F.struct(s.alias("last"), (a["cross"] + (s - mean) * (a["last"] - mean)).alias("cross"), (a["square"] + (s - mean) * (s - mean)).alias("square")))
-        return _with(x, ["start", "end", "coded", "n"], even=even, text=(x["chi"] - usual) / spread, runs=runs, sums=sums)
+        return _with(x, ["start", "end", "coded", "breaks", "n"], even=even, text=(x["chi"] - usual) / spread, runs=runs, sums=sums)
 
     def judged(x):
         n = x["n"]
         serial = F.when(x["sums"]["square"] > 0, (x["sums"]["cross"] / x["sums"]["square"] + 1 / n) * F.sqrt(n)).otherwise(99.0)
         odd = 2 * F.least(upper_tail(F.abs(x["runs"])), upper_tail(F.abs(serial)))
-        eligible = x["coded"] & (upper_tail(x["even"]) >= ALPHA) & (odd >= ALPHA)
-        cell = F.least(F.lit(CELLS), F.floor(-10 * F.log10(F.greatest(upper_tail(-x["text"]), F.lit(1e-60)))).cast("int"))
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.floor(F.log2(n)).cast("int").alias("octave"), F.when(eligible, F.greatest(cell, F.lit(0))).otherwise(0).alias("cell"))
+        eligible = (upper_tail(x["even"]) >= ALPHA) & (odd >= ALPHA)
+        both = F.greatest(upper_tail(-x["text"]) * many_breaks(n, x["breaks"]), F.lit(1e-60))
+        cell = F.least(F.lit(CELLS), F.floor(-10 * F.log10(both * (1 - F.log(both)))).cast("int"))
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.floor(F.log2(n)).cast("int").alias("octave"), F.when(x["coded"], F.when(eligible, F.greatest(cell, F.lit(0))).otherwise(0)).alias("cell"))
 
     first = F.transform(spans, begun)
     return [(name, first), *((name, F.transform(col, f)) for f in (numbered, summed, tested, judged))]
@@ -169,7 +193,7 @@ def with_scan(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def least_cells(scanned: DataFrame, rate: float = FALSE_DISCOVERY) -> dict[int, int]:
     """The cell from which stretches of each octave of length are discoveries. The driver gets one row per octave."""
-    cells = scanned.select(F.explode("__stretches").alias("x")).groupBy("x.octave", "x.cell").count()
+    cells = scanned.select(F.explode("__stretches").alias("x")).where("x.cell is not null").groupBy("x.octave", "x.cell").count()
     ranked = cells.selectExpr("octave", "cell", "sum(count) over (partition by octave order by cell desc) as found", "sum(count) over (partition by octave) as tests")
     # The cell's largest p-value, 10^(-cell / 10), has to stay under rate * found / tests.
     passed = ranked.where((F.col("cell") > 0) & (F.pow(F.lit(10.0), -F.col("cell") / 10) <= rate * F.col("found") / F.col("tests")))

@@ -1,11 +1,12 @@
 import hashlib
+import math
 import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from grainmill.llm.secrets import find_secrets, redacted, secret_report, without_secrets
+from grainmill.llm.secrets import find_secrets, least_cells, redacted, secret_report, with_scan, without_secrets
 
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|(?i:passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 
@@ -69,6 +70,102 @@ def test_battery_finds_random_strings_only(planted):
             assert r.spans == f"random:6:{len(r.text) - 5}"
 
 
+NORMAL = lambda z: math.erfc(z / math.sqrt(2)) / 2
+FULL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def plain_p(token):
+    """(tested, p) of a stretch by plain computation, p being 1 if a test rejects randomness."""
+    kinds = [any(c.islower() for c in token), any(c.isupper() for c in token), any(c.isdigit() for c in token)]
+    if sum(kinds) < 2:
+        return False, 1.0
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", token):
+        letters, alphabet, same = token.lower(), "0123456789abcdef", 0.12
+    elif re.fullmatch("[A-Z2-7]+", token):
+        letters, alphabet, same = token, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.075
+    else:
+        letters, alphabet, same = token.replace("-", "+").replace("_", "/"), FULL, 0.055
+    x, n, k = [alphabet.index(c) for c in letters], len(letters), len(alphabet)
+    chi = sum((x.count(i) - n / k) ** 2 / (n / k) for i in range(k))
+    even = NORMAL(((chi / (k - 1)) ** (1 / 3) - 1 + 2 / (9 * (k - 1))) / math.sqrt(2 / (9 * (k - 1))))
+    high = [2 * v >= k for v in x]
+    up, down = sum(high), n - sum(high)
+    mu = 2 * up * down / n + 1
+    var = (mu - 1) * (mu - 2) / (n - 1)
+    runs = (1 + sum(a != b for a, b in zip(high, high[1:])) - mu) / math.sqrt(var) if var > 0 else 99
+    mean = sum(x) / n
+    square = sum((v - mean) ** 2 for v in x)
+    serial = (sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / square + 1 / n) * math.sqrt(n) if square else 99
+    if even < 0.001 or 2 * min(NORMAL(abs(runs)), NORMAL(abs(serial))) < 0.001:
+        return True, 1.0
+    usual = k - n + k * (n - 1) * same
+    p_even = NORMAL(-(chi - usual) / math.sqrt(2 * (k - 1) + 4 * max(usual - (k - 1), 0)))
+    breaks = sum((a.islower() and b.isupper()) or (a.isalnum() and b.isalnum() and a.isdigit() != b.isdigit()) for a, b in zip(token, token[1:]))
+    p_breaks = sum(math.comb(n - 1, i) * 3**i * 17 ** (n - 1 - i) for i in range(breaks, n)) / 20 ** (n - 1)  # rate 0.15
+    both = max(p_even * p_breaks, 1e-60)
+    return True, both * (1 - math.log(both))
+
+
+def drawn(seed, alphabet, sizes):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(alphabet) for _ in range(n)) for n in sizes]
+
+
+def ordinary(seed, count):
+    """Names, paths, constants and dated keys, of 20 characters or more."""
+    rnd = random.Random(seed)
+    words = "water management system handler abstract factory bean version release internal counter module get set user profile index of for data reader".split()
+    forms = [
+        lambda w: w[0] + "".join(x.title() for x in w[1:]), lambda w: "".join(x.title() for x in w), lambda w: "/".join(w) + str(rnd.randrange(10)),
+        lambda w: "_".join(w).upper() + f"_{rnd.randrange(2030)}", lambda w: f"{w[0]}-2024-{rnd.randrange(10, 13)}-{rnd.randrange(10, 30)}-{w[1].title()}-{w[2]}",
+    ]
+    out = []
+    while len(out) < count:
+        s = rnd.choice(forms)([rnd.choice(words) for _ in range(rnd.randrange(4, 8))])
+        if len(s) >= 20:
+            out.append(s)
+    return out
+
+
+def test_battery_against_plain_computation(spark):
+    strings = [t for n, a in enumerate(("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", FULL, FULL[:62] + "-_", "aB3", FULL[:62])) for t in drawn(n, a, [20, 21, 24, 31, 32, 33, 40, 64, 65, 200, 3000])]
+    strings += [*ordinary(1, 150), "a1" * 15, "A" * 25 + "1", "Z9" + "z" * 40, "1" * 20 + "a"]
+    scanned = with_scan(spark.createDataFrame([(n, s) for n, s in enumerate(strings)], "doc_id long, text string")).collect()
+    assert len(scanned) == len(strings)
+    for r in scanned:
+        (x,) = r["__stretches"]
+        tested, p = plain_p(r.text)
+        assert (x.start, x.end, x.octave, x.cell is not None) == (0, len(r.text), int(math.log2(len(r.text))), tested)
+        if tested:
+            # The chance of so many breaks is bounded from above, which shows where there are few.
+            want = min(400, max(0, -10 * math.log10(max(p, 1e-60))))
+            assert x.cell <= want + 0.2 and x.cell >= want - (1.2 if want > 20 else 12), (r.text, x.cell, want)
+
+
+def test_false_discovery_against_plain_procedure(spark):
+    cells = [(5, c) for c in [0] * 900 + [3, 10, 12] * 20 + [30] * 3 + [55, 80]] + [(4, c) for c in [0] * 50 + [10] * 5] + [(6, None)] * 9 + [(6, 30)]
+    rows = [(n, [(0, 1, o, c)]) for n, (o, c) in enumerate(cells)]
+    df = spark.createDataFrame(rows, "doc_id long, __stretches array<struct<start:int,end:int,octave:int,cell:int>>")
+    want = {}
+    for octave in {o for o, _ in cells}:
+        p = sorted(10 ** (-c / 10) for o, c in cells if o == octave and c is not None)
+        passed = [x for i, x in enumerate(p, 1) if x <= 0.01 * i / len(p) and x < 1]
+        if passed:
+            want[octave] = round(-10 * math.log10(max(passed)))
+    assert least_cells(df) == want and set(want) == {5, 6}
+
+
+def test_battery_finds_rare_short_strings(spark):
+    """Twenty-four to forty random characters, a few in thousands of names and paths and tens of thousands of words."""
+    secret = drawn(3, FULL[:62], [24] * 10 + [28] * 10 + [31] * 10 + [40] * 10)
+    clean = ordinary(2, 4000)
+    rows = [(n, f"see {t} " + "some plain words here " * 5, n < len(secret)) for n, t in enumerate(secret + clean)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, secret boolean")
+    hits = [r for r in df.join(secret_report(df), "doc_id").collect() if "random" in r.spans]
+    assert sum(not r.secret for r in hits) <= 2
+    assert sum(r.secret for r in hits) >= 28
+
+
 def test_redaction(planted):
     found = planted.join(find_secrets(planted), "doc_id").withColumn("now", redacted(F.col("text"), F.col("found")))
     for r in found.collect():
