@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_total(df: DataFrame, order: str, value: str | None, out: str, ranges: int | None = None, by: str | None = None) -> DataFrame:
-    """Adds the sum of ``value`` (or the number of rows) up to and with each row, in order of the unique column ``order``, within each value of ``by``."""
+def running_total(df: DataFrame, order: str, value: str | None, out: str, ranges: int | None = None, by: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Adds the sum of ``value`` (or the number of rows) up to and with each row, in order of ``order``, then ``ties``, within each value of ``by``.
+
+    Rows of one value of ``order`` are in one range. Nulls come first in the order; a null in ``by`` is a group.
+    """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = df.agg(F.percentile_approx(order, F.array(*(F.lit(n / ranges) for n in range(1, ranges))), 10_000)).first()[0] if ranges > 1 else None
     cuts = F.array(*(F.lit(c) for c in sorted(set(cuts)))) if cuts else F.array().cast(f"array<{df.schema[order].dataType.simpleString()}>")
@@ -21,10 +24,11 @@ def running_total(df: DataFrame, order: str, value: str | None, out: str, ranges
     amount = F.col(value) if value else F.lit(1)
     sums = df.groupBy(*keys).agg(F.sum(amount).alias("__sum"))
     before = Window.partitionBy(*([by] if by else [])).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*keys, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = df.withColumn("__within", F.sum(amount).over(within)).join(sums, keys)
-    return joined.withColumn(out, F.col("__within") + F.col("__before")).drop("__range", "__within", "__before")
+    sums = sums.select(*(F.col(k).alias(f"__of_{k}") for k in keys), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
+    within = Window.partitionBy(*keys).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys]
+    joined = df.withColumn("__within", F.sum(amount).over(within)).join(sums, same)
+    return joined.withColumn(out, F.col("__within") + F.col("__before")).drop("__range", "__within", "__before", *(f"__of_{k}" for k in keys))
 
 
 def month_quotas(months: DataFrame, cap: int) -> DataFrame:
@@ -46,27 +50,25 @@ def part_quotas(quotas: DataFrame, target: int) -> DataFrame:
 
 def accept_within_quota(rows: DataFrame, quotas: DataFrame, key: str, order: str, size: str, quota: str) -> DataFrame:
     """Rows of each key up to the first that would exceed its quota: sums only grow, so that is where the running sum passes it."""
-    total = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = rows.join(quotas, key).withColumn("running", F.sum(size).over(total))
+    summed = running_total(rows.join(quotas, key), order, size, "running", by=key)
     return summed.where(F.col("running") <= F.col(quota))
 
 
 def round_robin(df: DataFrame, by: str, order: str) -> DataFrame:
     """Adds turn (place within its group) for an order of (turn, group): first of each group, then second of each."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(by).orderBy(order)))
+    return running_total(df, order, None, "turn", by=by)
 
 
-def take_within(df: DataFrame, order: list[Column], size: str, cap: int, past: bool = False) -> DataFrame:
+def take_within(df: DataFrame, order: tuple[str, ...], size: str, cap: int, past: bool = False) -> DataFrame:
     """Rows in order while their sizes stay within ``cap``; with ``past`` the row that crosses it is taken too."""
-    total = F.sum(size).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    rows = df.withColumn("running", total)
+    rows = running_total(df, order[0], size, "running", ties=order[1:])
     return rows.where((F.col("running") - F.col(size) < cap) if past else (F.col("running") <= cap))
 
 
 def weighted_interleave(df: DataFrame, by: str, order: str, weight: Column) -> DataFrame:
     """Adds place: groups take turns, each with as many rows a turn as its weight."""
-    turns = df.withColumn("n", F.row_number().over(Window.partitionBy(by).orderBy(order))).withColumn("turn", F.floor((F.col("n") - 1) / weight).cast("long"))
-    return turns.withColumn("place", F.row_number().over(Window.orderBy("turn", by, "n")))
+    turns = running_total(df, order, None, "n", by=by).withColumn("turn", F.floor((F.col("n") - 1) / weight).cast("long"))
+    return running_total(turns, "turn", None, "place", ties=(by, "n"))
 
 
 def fixed_parts(df: DataFrame, order: str, rows: int) -> DataFrame:

@@ -37,7 +37,7 @@ def sizes(s, d):
 
 def sampled(s, d, past=False):
     rows = P.round_robin(sizes(s, d), "source", "doc_id")
-    return P.take_within(rows, [F.col("turn"), F.col("source")], "bytes", SAMPLE_BYTES, past).select("doc_id", "source", "turn", F.col("running").cast("long").alias("running"))
+    return P.take_within(rows, ("turn", "source"), "bytes", SAMPLE_BYTES, past).select("doc_id", "source", F.col("turn").cast("int").alias("turn"), F.col("running").cast("long").alias("running"))
 
 
 def weight():
@@ -96,7 +96,7 @@ QUERIES = {
     "month_byte_quota_accept": quota_accept,
     "round_robin_sample": lambda s, d: sampled(s, d),
     "round_robin_sample_past_cap": lambda s, d: sampled(s, d, True),
-    "weighted_interleave": lambda s, d: P.weighted_interleave(read(s, d, "documents").select("doc_id", "source"), "source", "doc_id", weight()).select("doc_id", "source", "place"),
+    "weighted_interleave": lambda s, d: P.weighted_interleave(read(s, d, "documents").select("doc_id", "source"), "source", "doc_id", weight()).select("doc_id", "source", F.col("place").cast("int").alias("place")),
     "part_packing": lambda s, d: P.fixed_parts(read(s, d, "documents").select("doc_id"), "doc_id", 64).groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")),
     "running_bytes": lambda s, d: P.running_total(sizes(s, d), "doc_id", "bytes", "running", by="source").select("doc_id", "source", F.col("running").cast("long").alias("running")),
     "id_ranges": ranges,

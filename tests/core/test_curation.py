@@ -49,6 +49,27 @@ def test_orders(spark):
     assert all(r.s == r.id * (r.id + 1) for r in total.collect())
 
 
+def test_orders_by_ranges_equal_one_window(spark):
+    rows = [(n, None if n % 5 == 0 else "hot" if n % 3 else f"g{n % 4}", n % 11) for n in range(300)]
+    df = spark.createDataFrame(rows, "id long, source string, bytes long")
+    groups, turns = {}, []
+    for n, source, size in sorted(rows, key=lambda r: r[0]):
+        groups[source] = groups.get(source, 0) + 1
+        turns.append((groups[source], source or "", n, size))
+    turned = P.round_robin(df, "source", "id")
+    assert sorted((r.turn, r.source or "", r.id, r.bytes) for r in turned.collect()) == sorted(turns)
+    total, want = 0, []
+    for turn, source, n, size in sorted(turns):
+        total += size
+        if total <= 700:
+            want.append((n, total))
+    assert sorted((r.id, r.running) for r in P.take_within(turned, ("turn", "source"), "bytes", 700).collect()) == sorted(want)
+    placed = P.weighted_interleave(df, "source", "id", F.when(F.col("source") == "hot", 4).otherwise(1)).orderBy("place").collect()
+    order = sorted(((t - 1) // (4 if s == "hot" else 1), s, t, n) for t, s, n, _ in turns)
+    assert [(r.place, r.id) for r in placed] == [(k, n) for k, (_, _, _, n) in enumerate(order, 1)]
+    assert P.weighted_interleave(df.where("id < 0"), "source", "id", F.lit(1)).count() == 0
+
+
 def test_merge_raises_on_a_mismatch(spark):
     left = spark.createDataFrame([("a", "1"), ("b", "2")], "uid string, sha string")
     good = left.withColumn("label", F.lit("x"))
