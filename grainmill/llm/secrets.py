@@ -34,6 +34,8 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 LEAST_VALUE = 8
+#: Matches of a text whose places are worked out together.
+BLOCK = 256
 STRETCH = r"[A-Za-z0-9+/_-]{20,}"
 
 ALPHA, FALSE_DISCOVERY = 0.001, 0.01
@@ -59,7 +61,6 @@ def places(text: Column, pattern: str, group: int | None = None, least: int = 0)
     held = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length) if group else size
     before = F.transform(F.split(text, pattern, -1), F.length)
     none = F.array().cast("array<struct<start:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc, x):
         begin = acc["at"] + x["before"]
@@ -67,8 +68,16 @@ def places(text: Column, pattern: str, group: int | None = None, least: int = 0)
         kept = F.when(x["held"] >= least, F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"))))).otherwise(acc["out"])
         return F.struct(end.alias("at"), kept.alias("out"))
 
+    def block_after(acc, block):
+        first = F.coalesce(F.get(acc, F.size(acc) - 1)["at"], F.lit(0))
+        start = F.struct(first.alias("at"), none.alias("out"))
+        return F.concat(acc, F.array(F.aggregate(block, start, step)))
+
     steps = F.arrays_zip(F.slice(before, 1, F.size(size)).alias("before"), size.alias("size"), held.alias("held"))
-    return F.when(text.rlike(pattern), F.aggregate(steps, start, step, lambda acc: acc["out"])).otherwise(none)
+    # An array is copied when it grows, so matches are added to blocks, and blocks to their list.
+    blocks = F.transform(F.sequence(F.lit(1), F.size(size), F.lit(BLOCK)), lambda at: F.slice(steps, at, BLOCK))
+    listed = F.array().cast("array<struct<at:int,out:array<struct<start:int,end:int>>>>")
+    return F.when(text.rlike(pattern), F.aggregate(blocks, listed, block_after, lambda acc: F.flatten(acc["out"]))).otherwise(none)
 
 
 def upper_tail(z: Column) -> Column:
