@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grainmill.llm.ann import Graph, nearest
+from grainmill.llm.ann import SEARCH_BEAM, SHARD_ROWS, Graph, nearest
 
 
 def brute(rows, queries, k):
@@ -34,6 +34,26 @@ def test_graph_finds_neighbours():
     assert Graph(rows[:1]).search(rows[0], 5).tolist() == [0]
 
 
+def test_recall_at_the_size_of_a_shard():
+    """Random directions, the hardest case: of twenty neighbours in twelve shards or more, about two are in one shard."""
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(SHARD_ROWS, 64)).astype(np.float32)
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    graph, hits = Graph(rows), 0
+    for q in rng.normal(size=(100, 64)).astype(np.float32):
+        hits += len(set(np.argsort(-(rows @ q))[:2].tolist()) & set(graph.search(q, SEARCH_BEAM).tolist()))
+    assert hits >= 180
+
+
+def test_several_shards_a_task(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    queries = df.where("vec_id % 20 = 0")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    got = nearest(df, queries, shard_rows=5).collect()
+    assert recall(got, brute(rows, [x for x in rows if x[0] % 20 == 0], 20)) == 1.0
+    assert sorted(r["rank"] for r in got if r.query_id == 20) == list(range(1, 21))
+
+
 def test_documents_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
